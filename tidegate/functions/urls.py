@@ -34,9 +34,9 @@ def netloc(url: Column) -> Column:
     return F.regexp_extract(_tidy(url), _AUTHORITY, 1)
 
 
-def hostname(url: Column) -> Column:
-    """Lower-case host without user info, port and brackets."""
-    host_port = F.regexp_extract(netloc(url), r"([^@]*)$", 1)
+def hostname(url_netloc: Column) -> Column:
+    """Lower-case host of an authority, without user info, port and brackets."""
+    host_port = F.regexp_extract(url_netloc, r"([^@]*)$", 1)
     return F.lower(F.coalesce(
         F.nullif(F.regexp_extract(host_port, r"\[([^\]]*)", 1), F.lit("")),
         F.regexp_extract(host_port, r"^([^:\[]*)", 1)))
@@ -111,7 +111,8 @@ def _library_udf():
 
 # --- addresses ------------------------------------------------------------------------
 _IPV4 = r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?:\.(?!$)|$)){4}$"
-_IPV6 = r"^(?=.*:)[0-9a-f:]+(?:[0-9]+(?:\.[0-9]+){3})?$"
+_IPV6 = (r"^(?=.*:)(?!:[^:])(?!.*[^:]:$)(?!.*:::)(?!.*::.*::)"
+         r"[0-9a-f:]+(?:[0-9]+(?:\.[0-9]+){3})?$")
 
 
 def is_ipv4(host: Column) -> Column:
@@ -129,29 +130,32 @@ def ipv4_number(host: Column) -> Column:
 def ipv6_hex(host: Column) -> Column:
     """The 32 hex digits of an IPv6 address, null for anything else."""
     dotted = F.regexp_extract(host, r":((?:[0-9]+\.){3}[0-9]+)$", 1)
-    quad = bind(ipv4_number(dotted), lambda n: F.concat(
-        F.hex(F.shiftright(n, 16)), F.lit(":"), F.hex(n.bitwiseAND(F.lit(0xFFFF)))))
-    plain = F.when(dotted == "", host).otherwise(
-        F.concat(F.regexp_extract(host, r"^(.*:)[^:]*$", 1), quad))
-    sides = F.split(F.lower(plain), "::", -1)
-
-    def groups(i: int) -> Column:
-        side = F.coalesce(F.get(sides, F.lit(i)), F.lit(""))
-        return F.when(side == "", F.array().cast("array<string>")).otherwise(F.split(side, ":"))
-
-    left, right = groups(0), groups(1)
-    have = F.size(left) + F.size(right)
-    full = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - have, F.lit(0))), right)
-    shaped = ((F.size(sides) == 1) & (have == 8)) | ((F.size(sides) == 2) & (have < 8))
-    sound = F.forall(full, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
-    digits = F.array_join(F.transform(full, lambda g: F.lpad(g, 4, "0")), "")
-    return F.when(F.lower(host).rlike(_IPV6) & shaped & sound, digits)
-
-
-def in_networks(address: Column, networks: list[str]) -> Column:
+    head = F.regexp_extract(host, r"^(.*:)[^:]*$", 1)
+    plain = F.when(~host.contains("."), host).otherwise(bind(
+        ipv4_number(dotted),
+        lambda n: F.concat(head, F.hex(F.shiftright(n, 16)), F.lit(":"), F.hex(n.bitwiseAND(F.lit(0xFFFF))))))
+
+    def groups(side: Column) -> Column:
+        return F.filter(F.split(F.coalesce(side, F.lit("")), ":"), lambda g: g != "")
+
+    def expand(sides: Column) -> Column:
+        left, right = groups(F.get(sides, F.lit(0))), groups(F.get(sides, F.lit(1)))
+        zeros = F.when(F.size(sides) == 2, F.greatest(8 - F.size(left) - F.size(right), F.lit(1)))
+        filled = F.concat(left, F.array_repeat(F.lit("0"), F.coalesce(zeros, F.lit(0))), right)
+        return bind(filled, digits)
+
+    def digits(filled: Column) -> Column:
+        sound = (F.size(filled) == 8) & F.forall(filled, lambda g: F.length(g) <= 4)
+        return F.when(sound, F.array_join(F.transform(filled, lambda g: F.lpad(g, 4, "0")), ""))
+
+    return F.when(F.lower(host).rlike(_IPV6), bind(F.split(F.lower(plain), "::", -1), expand))
+
+
+def in_networks(v4: Column, v6: Column, networks: list[str]) -> Column:
     """Whether an address lies in one of the CIDR ranges; null when it is no address.
 
-    IPv4 and IPv6 never match across families. The list is a parameter of fixed size and
+    Takes the forms of :func:`ipv4_number` and :func:`ipv6_hex`, of which one is null at
+    least; the families never match across. The list is a parameter of fixed size and
     becomes comparisons with constants.
     """
     ranges = {4: [], 6: []}
@@ -159,13 +163,12 @@ def in_networks(address: Column, networks: list[str]) -> Column:
         lo, hi = int(net.network_address), int(net.broadcast_address)
         ranges[net.version].append((lo, hi) if net.version == 4 else (f"{lo:032x}", f"{hi:032x}"))
 
-    def inside(version: int):
-        return lambda a: reduce(or_, [a.between(*r) for r in ranges[version]], F.lit(False))
+    def inside(address: Column, version: int) -> Column:
+        return reduce(or_, [address.between(*r) for r in ranges[version]], F.lit(False))
 
-    return F.when(is_ipv4(address), bind(ipv4_number(address), inside(4))).otherwise(
-        bind(ipv6_hex(address), lambda a: F.when(a.isNotNull(), inside(6)(a))))
+    return F.when(v4.isNotNull(), inside(v4, 4)).when(v6.isNotNull(), inside(v6, 6))
 
 
-def is_mapped_ipv4(address: Column) -> Column:
+def is_mapped_ipv4(v6: Column) -> Column:
     """IPv4 written inside IPv6 (``::ffff:a.b.c.d``)."""
-    return F.coalesce(ipv6_hex(address).startswith("0" * 20 + "ffff"), F.lit(False))
+    return F.coalesce(v6.startswith("0" * 20 + "ffff"), F.lit(False))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.text import java_regex, strip
 from tidegate.functions.urls import (
-    hostname, in_networks, ipv6_hex, is_ipv4, is_mapped_ipv4, netloc, resolve_all, scheme)
+    hostname, in_networks, ipv4_number, ipv6_hex, is_mapped_ipv4, netloc, resolve_all, scheme)
 
 # --- fixed values: link pattern, skipped prefixes, schemes, blocked networks ---------
 HREF_PATTERN = r"""<a\s[^>]*?href=["']([^"']+)["']"""
@@ -56,16 +56,16 @@ def link_edges(pages: DataFrame) -> DataFrame:
 
 
 def host_in_degree(edges: DataFrame) -> DataFrame:
-    """Edges and linking pages' count per target host."""
-    return (edges.groupBy(hostname(F.col("target")).alias("host"))
+    """Distinct links per target host."""
+    return (edges.groupBy(hostname(netloc(F.col("target"))).alias("host"))
             .agg(F.count("*").alias("n_edges")))
 
 
-def syntax_verdict(url: Column) -> Column:
-    """The first syntax failure of a URL, or null."""
-    return (F.when(~scheme(url).isin(ALLOWED_SCHEMES), F.lit("unsupported_scheme"))
-            .when(netloc(url) == "", F.lit("no_host"))
-            .when(hostname(url) == "", F.lit("no_hostname")))
+def syntax_verdict(url_scheme: Column, url_netloc: Column, host: Column) -> Column:
+    """The first syntax failure of a URL given its parts, or null."""
+    return (F.when(~url_scheme.isin(ALLOWED_SCHEMES), F.lit("unsupported_scheme"))
+            .when(url_netloc == "", F.lit("no_host"))
+            .when(host == "", F.lit("no_hostname")))
 
 
 def screen_urls(urls: DataFrame, host_ips: DataFrame, networks=BLOCKED_NETWORKS) -> DataFrame:
@@ -77,18 +77,23 @@ def screen_urls(urls: DataFrame, host_ips: DataFrame, networks=BLOCKED_NETWORKS)
     The lookup table is reduced to one row per host, so the join keeps the row count; a
     host that many URLs share is split by adaptive skew handling.
     """
-    lookup = (host_ips.groupBy(F.lower("host").alias("host"))
-              .agg(F.bool_or(F.coalesce(in_networks(F.lower("ip"), networks), F.lit(True)))
-                   .alias("_private"),
-                   F.bool_or(is_mapped_ipv4(F.lower("ip"))).alias("_mapped")))
-    url, host = F.col("url"), F.col("host")
-    literal = is_ipv4(host) | ipv6_hex(host).isNotNull()
-    private = F.when(literal, in_networks(host, networks)).otherwise(F.col("_private"))
-    mapped = F.when(literal, is_mapped_ipv4(host)).otherwise(F.col("_mapped"))
+    v4, v6, host = F.col("_v4"), F.col("_v6"), F.col("host")
+    lookup = (host_ips.select(F.lower("host").alias("host"), F.lower("ip").alias("_ip"))
+              .withColumns({"_v4": ipv4_number(F.col("_ip")), "_v6": ipv6_hex(F.col("_ip"))})
+              .groupBy("host")
+              .agg(F.bool_or(F.coalesce(in_networks(v4, v6, networks), F.lit(True))).alias("_private"),
+                   F.bool_or(is_mapped_ipv4(v6)).alias("_mapped")))
+    literal = v4.isNotNull() | v6.isNotNull()
+    private = F.when(literal, in_networks(v4, v6, networks)).otherwise(F.col("_private"))
+    mapped = F.when(literal, is_mapped_ipv4(v6)).otherwise(F.col("_mapped"))
     verdict = (F.when(F.col("_syntax").isNotNull(), F.col("_syntax"))
                .when(F.coalesce(mapped, F.lit(False)), F.lit("mapped_ipv4"))
                .when(F.coalesce(private, F.lit(True)), F.lit("ssrf_blocked"))
                .otherwise(F.lit("ok")))
-    return (urls.withColumn("host", hostname(url)).withColumn("_syntax", syntax_verdict(url))
+    return (urls
+            .withColumns({"_scheme": scheme(F.col("url")), "_netloc": netloc(F.col("url"))})
+            .withColumn("host", hostname(F.col("_netloc")))
+            .withColumns({"_v4": ipv4_number(host), "_v6": ipv6_hex(host),
+                          "_syntax": syntax_verdict(F.col("_scheme"), F.col("_netloc"), host)})
             .join(lookup, "host", "left")
             .select(*urls.columns, "host", verdict.alias("verdict")))
