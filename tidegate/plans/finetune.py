@@ -24,8 +24,8 @@ class PreparedSet:
 def prepare_finetuning(spark: SparkSession, csv_path, out: str, multi_line: bool = True) -> PreparedSet:
     """Read tickets, keep and clean the valid ones, write ChatML and Alpaca JSON Lines.
 
-    The CSV is parsed once: the job that writes the clean table also counts the
-    validation report; everything after reads that table.
+    The job that writes the clean table also counts the validation report; everything
+    after reads that table. Overlong rows are set aside in a second pass over the CSV.
     """
     raw, overlong = read_tickets(spark, csv_path, multi_line)
     overlong.write.mode("overwrite").text(f"{out}/overlong")
