@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column
@@ -39,8 +41,23 @@ def bind(expr: Column, use) -> Column:
 def java_regex(pattern: str, ignore_case: bool = True) -> str:
     r"""Java form of a pattern written with Unicode-aware ``\s \S \d \w \b``."""
     classes = {r"\s": WS, r"\S": NOT_WS, r"\d": r"\p{Nd}", r"\w": WORD, r"\b": BOUNDARY}
-    body = re.sub(r"\\.", lambda m: classes.get(m.group(0), m.group(0)), pattern)
-    return ("(?iu)" if ignore_case else "") + body
+
+    def spelled(m: re.Match) -> str:
+        # a boundary before a digit: looking for the digit first is much cheaper
+        if m.group(0) == r"\b" and pattern.startswith((r"\d", r"(?:\d"), m.end()):
+            return rf"(?=\p{{Nd}})(?<!{WORD})"
+        return classes.get(m.group(0), m.group(0))
+
+    return ("(?iu)" if ignore_case else "") + re.sub(r"\\.", spelled, pattern)
+
+
+# the only characters outside ASCII that match an ASCII letter when case is ignored
+FOLD_TO_ASCII = "\u0130\u0131\u017f\u212a"
+
+
+def holds_any(c: Column, literals: list[str] | tuple[str, ...]) -> Column:
+    """Whether the text holds one of the literals."""
+    return reduce(or_, [F.contains(c, F.lit(t)) for t in literals])
 
 
 def strip(c: Column) -> Column:

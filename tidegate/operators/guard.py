@@ -1,20 +1,36 @@
 """Input and output guardrails as Column expressions, and corpus screening.
 
 Each guardrail is one ``CASE`` over a catalogue in priority order: a pattern is tried
-only when no earlier one hit, and the matched text is extracted only on a hit.
+only when no earlier one hit, and the matched text is extracted only on a hit. Nearly all
+text is clean, so a pattern that cannot match without certain literals is tried only on
+text that holds one of them.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.functions.text import bind, java_regex
+from tidegate.functions.text import FOLD_TO_ASCII, bind, holds_any, java_regex
+
+
+class Detector(NamedTuple):
+    """A pattern with its names; ``needs`` lists lower-case literals, one of which every
+    match holds (none: always tried)."""
+
+    kind: str
+    label: str
+    pattern: str
+    ignore_case: bool = True
+    needs: tuple[str, ...] = ()
+
 
 # --- fixed values: catalogues and messages that results must equal -------------------
-# (violation type, label, pattern); the order is the priority
+# the order is the priority
 INJECTION_CATALOGUE = [
-    (
+    Detector(
         "system_prompt_override",
         "System-prompt override attempt",
         r"ignore\s+(all\s+)?(previous|prior|above|earlier)\s+instructions?"
@@ -25,8 +41,9 @@ INJECTION_CATALOGUE = [
         r"|disregard\s+(?:your\s+)?(?:previous\s+)?instructions?"
         r"|new\s+instructions?\s*[:=]"
         r"|override\s+(?:your\s+)?(?:system\s+)?prompt",
+        needs=("instruction", "override", "mode", "forget", "unfiltered"),
     ),
-    (
+    Detector(
         "delimiter_collision",
         "Delimiter / template injection attempt",
         r"###\s*(?:instruction|system|prompt|context)"
@@ -35,8 +52,9 @@ INJECTION_CATALOGUE = [
         r"|<<SYS>>|<</SYS>>"
         r"|\{\{[^\n]*?\}\}"
         r"|<system>|</system>",
+        needs=("###", "<|im_", "inst]", "sys>>", "{{", "system>"),
     ),
-    (
+    Detector(
         "exfiltration_probe",
         "Exfiltration / secret-extraction probe",
         r"(print|show|reveal|display|output|repeat|tell me)\s+"
@@ -46,20 +64,22 @@ INJECTION_CATALOGUE = [
         r"|what\s+(are|is)\s+your\s+(hidden|secret|system)\s+(instructions?|prompt)"
         r"|show\s+all\s+(hidden|secret|internal)\s+policies"
         r"|dump\s+(all|the|your)\s+(context|data|memory|knowledge|instructions?)",
+        needs=("initial", "hidden", "system", "original", "secret", "internal", "full", "dump"),
     ),
 ]
 
 TOXIC_PHRASES = ["profanity1", "profanity2", "hate speech", "slur"]
 
-# (name, pattern, ignore case)
 LEAK_CATALOGUE = [
-    ("secret_key", r"sk-[A-Za-z0-9]{20,}", True),
-    ("cloud_access_key", r"AKIA[0-9A-Z]{16}", True),
-    ("password", r"(?:password|passwd|pwd)\s*[:=]\s*\S+", True),
-    ("bearer_token", r"Bearer\s+[A-Za-z0-9\-._~+/]+=*", True),
-    ("api_key", r"api[_-]?key\s*[:=]\s*['\"]?[A-Za-z0-9\-_]{16,}['\"]?", True),
-    ("ssn", r"\b\d{3}-\d{2}-\d{4}\b", False),
-    ("card_number", r"\b(?:\d[ -]?){13,16}\b", False),
+    Detector("secret_key", "secret key", r"sk-[A-Za-z0-9]{20,}", needs=("sk-",)),
+    Detector("cloud_access_key", "cloud access key", r"AKIA[0-9A-Z]{16}", needs=("akia",)),
+    Detector("password", "password", r"(?:password|passwd|pwd)\s*[:=]\s*\S+",
+             needs=("password", "passwd", "pwd")),
+    Detector("bearer_token", "bearer token", r"Bearer\s+[A-Za-z0-9\-._~+/]+=*", needs=("bearer",)),
+    Detector("api_key", "API key",
+             r"api[_-]?key\s*[:=]\s*['\"]?[A-Za-z0-9\-_]{16,}['\"]?", needs=("api",)),
+    Detector("ssn", "US social security number", r"\b\d{3}-\d{2}-\d{4}\b", ignore_case=False),
+    Detector("card_number", "card number", r"\b(?:\d[ -]?){13,16}\b", ignore_case=False),
 ]
 LEAK_SHOWN = 20
 
@@ -107,61 +127,69 @@ def detect(text: Column, pattern: str, ignore_case: bool = True) -> Column:
     return F.nullif(F.regexp_extract(text, java_regex(pattern, ignore_case), 0), F.lit(""))
 
 
-def input_guardrail(text: Column, catalogue=INJECTION_CATALOGUE) -> Column:
+def _scan(text: Column, detectors: list[Detector], blocked, before=None) -> Column:
+    """Result of the first detector that hits, null when none does.
+
+    ``blocked(detector, fragment)`` builds the result. ``before(low)`` gives a result
+    that comes first, from the lower-cased text. The lower-cased text is made once.
+    """
+    seen = F.struct(F.lower(text).alias("low"), holds_any(text, FOLD_TO_ASCII).alias("odd"))
+
+    def first(v: Column) -> Column:
+        branches = []
+        for d in detectors:
+            regex = java_regex(d.pattern, d.ignore_case)
+            hit = text.rlike(regex)
+            if d.needs:
+                hit = (v["odd"] | holds_any(v["low"], d.needs)) & hit
+            branches.append((hit, blocked(d, F.regexp_extract(text, regex, 0))))
+        found = _first_of(branches)
+        return F.coalesce(before(v["low"]), found) if before else found
+
+    return bind(seen, first)
+
+
+def input_guardrail(text: Column, catalogue: list[Detector] = INJECTION_CATALOGUE) -> Column:
     """Struct ``passed, violation_type, matched_pattern, message`` for a prompt."""
     head, middle, tail = INPUT_BLOCKED
 
-    def blocked(kind: str, label: str):
-        return lambda hit: _result(
-            False, F.lit(kind), hit, F.concat(F.lit(head + label + middle), hit, F.lit(tail)))
+    def blocked(d: Detector, fragment: Column) -> Column:
+        return bind(fragment, lambda hit: _result(
+            False, F.lit(d.kind), hit, F.concat(F.lit(head + d.label + middle), hit, F.lit(tail))))
 
-    branches = []
-    for kind, label, pattern in catalogue:
-        regex = java_regex(pattern)
-        fragment = F.regexp_extract(text, regex, 0)
-        branches.append((text.rlike(regex), bind(fragment, blocked(kind, label))))
-    return F.coalesce(_first_of(branches), _passed(INPUT_PASSED))
+    return F.coalesce(_scan(text, catalogue, blocked), _passed(INPUT_PASSED))
 
 
-def toxic_phrase(text: Column, phrases=TOXIC_PHRASES) -> Column:
+def toxic_phrase(text: Column, phrases: list[str] = TOXIC_PHRASES) -> Column:
     """The first phrase of the list found in the lower-cased text, or null."""
-    listed = F.array(*[F.lit(p) for p in phrases])
-    return bind(
-        F.lower(text),
-        lambda low: F.get(F.filter(listed, lambda p: F.contains(low, p)), F.lit(0)),
-    )
+    return bind(F.lower(text), lambda low: _listed_phrase(low, phrases))
+
+
+def _listed_phrase(low: Column, phrases: list[str]) -> Column:
+    return F.get(F.filter(F.array(*map(F.lit, phrases)), lambda p: F.contains(low, p)), F.lit(0))
 
 
 def output_guardrail(
-    text: Column, phrases=TOXIC_PHRASES, leaks=LEAK_CATALOGUE, mask: bool = False
+    text: Column, phrases: list[str] = TOXIC_PHRASES, leaks: list[Detector] = LEAK_CATALOGUE,
+    mask: bool = False,
 ) -> Column:
     """Struct as for :func:`input_guardrail`, for an answer or a document.
 
     Toxic phrases come before leaks. ``mask=True`` shows the kind of leak instead of
     the first characters of the secret.
     """
-    toxic = bind(
-        toxic_phrase(text, phrases),
-        lambda p: F.when(
-            p.isNotNull(),
-            _result(False, F.lit("toxicity"), p,
-                    F.concat(F.lit(TOXIC_BLOCKED[0]), p, F.lit(TOXIC_BLOCKED[1]))),
-        ),
-    )
-    branches = []
-    for name, pattern, ignore_case in leaks:
-        regex = java_regex(pattern, ignore_case)
-        shown = (
-            F.lit(f"<{name}>") if mask
-            else F.concat(F.substring(F.regexp_extract(text, regex, 0), 1, LEAK_SHOWN), F.lit("…"))
-        )
-        blocked = bind(
-            shown,
-            lambda s: _result(False, F.lit("credential_leakage"), s,
-                              F.concat(F.lit(LEAK_BLOCKED[0]), s, F.lit(LEAK_BLOCKED[1]))),
-        )
-        branches.append((text.rlike(regex), blocked))
-    return F.coalesce(toxic, _first_of(branches), _passed(OUTPUT_PASSED))
+    def toxic(low: Column) -> Column:
+        return bind(_listed_phrase(low, phrases), lambda p: F.when(p.isNotNull(), _result(
+            False, F.lit("toxicity"), p, F.concat(F.lit(TOXIC_BLOCKED[0]), p, F.lit(TOXIC_BLOCKED[1])))))
+
+    def blocked(d: Detector, fragment: Column) -> Column:
+        shown = F.lit(f"<{d.kind}>") if mask else F.concat(
+            F.substring(fragment, 1, LEAK_SHOWN), F.lit("…"))
+        return bind(shown, lambda s: _result(
+            False, F.lit("credential_leakage"), s,
+            F.concat(F.lit(LEAK_BLOCKED[0]), s, F.lit(LEAK_BLOCKED[1]))))
+
+    return F.coalesce(_scan(text, leaks, blocked, toxic), _passed(OUTPUT_PASSED))
 
 
 def guard_queries(queries: DataFrame, text: str = "query", out: str = "input_guardrail") -> DataFrame:

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_SCAN_PARTITION_BYTES = 128 * 1024 * 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,3 +38,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a table too small to occupy all cores one partition per core.
+
+    Heavy per-row work on one small file would otherwise run in a single task. A table
+    whose scan fills the cores by itself is left where it is.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * _SCAN_PARTITION_BYTES else df

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegate.storage import spread
+
 VIEWS = {
     # injections of all three kinds; one form matches two of them
     "prompts": """
@@ -92,8 +94,9 @@ TABLES = ("documents", "conversations", "pages", "benchmark", "embeddings")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the driver's tables; documents are spread over the cores when few."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name == "documents" else df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
