@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 from tidegate.operators.retrieval import TOP_K, best_per_query
 
-_BLOCK_ROWS = 1024
+_BLOCK_ROWS = 1024           # queries of a block
+_VECTORS_PER_QUERY_ROW = 8   # a block of vectors is that much longer
 _BROADCAST_BYTES = 32 * 1024 * 1024
 _PLACES = 9
 _FOUND = "query_id {0}, vec_id {1}, distance double"
@@ -97,7 +98,7 @@ def _block_join(
 ) -> DataFrame:
     n_vectors = vectors.count()
     query_blocks = max(1, math.ceil(n_queries / block_rows))
-    vector_blocks = max(1, math.ceil(n_vectors / block_rows))
+    vector_blocks = max(1, math.ceil(n_vectors / (_VECTORS_PER_QUERY_ROW * block_rows)))
 
     def blocked(df: DataFrame, key: str, own: str, blocks: int, other: str, copies: int) -> DataFrame:
         return (df.select(key, "embedding", F.pmod(F.xxhash64(key), F.lit(blocks)).alias(own))
