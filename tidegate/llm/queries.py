@@ -11,7 +11,26 @@ from pyspark.sql import functions as F
 from .bpe import round_trip
 from .common import is_held_out, read
 from .language import fit_language, predict_language
+from .licenses import scan_licenses
+from .mixing import mix_sources
 from .quality import THRESHOLD, fit_quality, score_quality
+from .sharding import HASH_BITS, shard
+from .topk import top_k
+
+SHARD_BYTES = 64 * 1024 * 1024
+SMALL_SHARD_BYTES = 64 * 1024
+
+
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = scan_licenses(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    phrases = F.filter("matches", lambda m: m["phrase"])
+    names = lambda found: F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda m: m["label"]))), ",")
+    return scanned.select(
+        "doc_id", "n_words", F.size(phrases).cast("long").alias("n_base"),
+        F.array_min(F.transform(phrases, lambda m: m["first_word"])).alias("first_word"),
+        F.array_max(F.transform(phrases, lambda m: m["first_word"])).alias("last_word"),
+        names(phrases).alias("base_labels"), names(F.col("matches")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["containment"])), F.lit(0.0)).alias("score"))
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +39,20 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(docs.select("doc_id", is_held_out().alias("held_out"), "text"), model).drop("text")
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(read(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+def shard_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator with a limit that splits buckets at every scale."""
+    return shard(read(spark, sf_dir, "documents"), SMALL_SHARD_BYTES)
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = fit_quality(docs, read(spark, sf_dir, "labels"))
@@ -36,8 +69,40 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "mix_block", "mix_position", "mix_place")
+
+
+def _shards_sql(limit: int) -> str:
+    return f"""
+WITH r AS (SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
+  ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS h FROM documents),
+b AS (SELECT d AS depth, h >> ({HASH_BITS} - d) AS prefix, sum(n_bytes) AS shard_bytes
+  FROM r, (SELECT unnest(range(0, {HASH_BITS + 1})) AS d) GROUP BY ALL
+  HAVING sum(n_bytes) <= {limit} OR min(h) = max(h)),
+f AS (SELECT r.doc_id, r.n_bytes, b.*, row_number() OVER (PARTITION BY r.doc_id ORDER BY b.depth) AS place
+  FROM r JOIN b ON b.prefix = r.h >> ({HASH_BITS} - b.depth))
+SELECT doc_id, n_bytes, CAST(depth AS INTEGER) AS depth, prefix, CAST(0 AS BIGINT) AS page,
+  CAST(shard_bytes AS BIGINT) AS shard_bytes FROM f WHERE place = 1"""
+
+
+TOP_K_SQL = """
+WITH v AS (SELECT vec_id, embedding FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c AS (SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding) AS x FROM v),
+n AS (SELECT vec_id, i, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM c),
+s AS (SELECT q.vec_id AS query_id, o.vec_id, CAST(sum(q.x * o.x) AS BIGINT) AS score
+  FROM n AS q JOIN n AS o ON q.i = o.i AND q.vec_id <> o.vec_id WHERE q.vec_id % 100 = 0 GROUP BY ALL)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 10"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_language": op2_language, "op6_quality": op6_quality, "op7_bpe": op7_bpe,
+    "op1_licenses": op1_licenses, "op2_language": op2_language, "op3_sharding": op3_sharding,
+    "op4_topk": op4_topk, "op6_quality": op6_quality, "op7_bpe": op7_bpe, "op9_mixing": op9_mixing,
+    "shard_small": shard_small,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_sharding": _shards_sql(SHARD_BYTES), "op4_topk": TOP_K_SQL, "shard_small": _shards_sql(SMALL_SHARD_BYTES),
+}
