@@ -74,6 +74,21 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
+def block_pairs(rows: DataFrame, group: list[str], weight: Column, block_weight: int) -> DataFrame:
+    """``rows`` (with a column ``node``) dealt to pairs of blocks of their group.
+
+    A group has one block for each ``block_weight`` of its summed weight, and every two
+    blocks meet in one group of the result: columns ``lo``, ``hi`` and the own block
+    ``blk``. Groups of one row are left out. No task gets more than about two blocks.
+    """
+    sizes = rows.groupBy(*group).agg(F.count("*").alias("n"), F.sum(weight).alias("weight")).where("n > 1")
+    blocks = F.ceil(F.col("weight") / block_weight).cast("int")
+    return (rows.join(sizes, group)
+            .withColumn("blk", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+            .withColumn("mate", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .withColumns({"lo": F.least("blk", "mate"), "hi": F.greatest("blk", "mate")}).drop("mate", "n", "weight"))
+
+
 def pieces(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one piece holds about ``size`` bytes (a longer row stays whole)."""
     for batch in batches:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from .bpe import round_trip
 from .common import is_held_out, read
+from .embedding_dedup import near_duplicates
+from .jaccard import similar_documents
 from .language import fit_language, predict_language
 from .licenses import scan_licenses
 from .mixing import mix_sources
@@ -69,6 +71,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(read(spark, sf_dir, "documents"), width=3, percent=90)
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "mix_block", "mix_position", "mix_place")
@@ -99,7 +109,8 @@ FROM s QUALIFY rank <= 10"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses, "op2_language": op2_language, "op3_sharding": op3_sharding,
-    "op4_topk": op4_topk, "op6_quality": op6_quality, "op7_bpe": op7_bpe, "op9_mixing": op9_mixing,
+    "op4_topk": op4_topk, "op6_quality": op6_quality, "op7_bpe": op7_bpe, "op8_jaccard": op8_jaccard, "op9_mixing": op9_mixing,
+    "op10_embedding_dedup": op10_embedding_dedup,
     "shard_small": shard_small,
 }
 
