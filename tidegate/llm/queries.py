@@ -17,6 +17,7 @@ from .licenses import scan_licenses
 from .mixing import mix_sources
 from .quality import THRESHOLD, fit_quality, score_quality
 from .sharding import HASH_BITS, shard
+from .suffix_dedup import remove_repeats
 from .topk import top_k
 
 SHARD_BYTES = 64 * 1024 * 1024
@@ -55,6 +56,14 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["length"]).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = fit_quality(docs, read(spark, sf_dir, "labels"))
@@ -109,7 +118,7 @@ FROM s QUALIFY rank <= 10"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses, "op2_language": op2_language, "op3_sharding": op3_sharding,
-    "op4_topk": op4_topk, "op6_quality": op6_quality, "op7_bpe": op7_bpe, "op8_jaccard": op8_jaccard, "op9_mixing": op9_mixing,
+    "op4_topk": op4_topk, "op5_suffix_dedup": op5_suffix_dedup, "op6_quality": op6_quality, "op7_bpe": op7_bpe, "op8_jaccard": op8_jaccard, "op9_mixing": op9_mixing,
     "op10_embedding_dedup": op10_embedding_dedup,
     "shard_small": shard_small,
 }
