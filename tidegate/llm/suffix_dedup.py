@@ -350,8 +350,8 @@ def repeated_windows(docs: DataFrame, length: int, slices: int) -> DataFrame:
     return first.unionByName(second).where("octet_length(starts) > 0").select("name", "doc_id", "starts", "ends")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, slices: int | None = None) -> DataFrame:
-    """``docs`` with ``kept`` (binary, the bytes that stay) and ``removed`` (array of ``start, length``, maximal, in order).
+def remove_repeats(docs: DataFrame, length: int = LENGTH, slices: int | None = None, as_text: bool = False) -> DataFrame:
+    """``docs`` with ``kept`` (binary, the bytes that stay; ``as_text``: the whole characters among them) and ``removed`` (array of ``start, length``, maximal, in order).
 
     A byte of the UTF-8 text is removed if a string of ``length`` bytes over it also starts
     in a document with a smaller ``doc_id``; strings are those of the input and never cross
@@ -374,10 +374,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, slices: int | None = N
     keyed = kept.withColumn("name_", F.md5(F.coalesce("text", F.lit(""))))
     joined = join_checked(keyed, few.withColumnRenamed("name", "name_"), "name_", "left").select(
         *[F.col(f"`{c}`") for c in kept.columns], "_parts", (F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)) > F.col("_least")).alias("_copy"))
-    return _cut(joined, kept, length)
+    return _cut(joined, kept, length, as_text)
 
 
-def _cut(joined: DataFrame, kept: DataFrame, length: int) -> DataFrame:
+def _cut(joined: DataFrame, kept: DataFrame, length: int, as_text: bool) -> DataFrame:
     removed, names = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])), kept.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,8 +396,9 @@ def _cut(joined: DataFrame, kept: DataFrame, length: int) -> DataFrame:
                 stay.append(b"".join(text[a:b] for a, b in zip([0, *ends], [*starts, len(text)], strict=True)))
                 gone.append([{"start": a, "length": b - a} for a, b in zip(starts, ends, strict=True)])
             columns = [c for name, c in zip(piece.schema.names, piece.columns, strict=True) if name not in ("_parts", "_copy")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(stay, pa.binary()), pa.array(gone, removed)],
+            left = pa.array([x.decode("utf-8", "ignore") for x in stay], pa.string()) if as_text else pa.array(stay, pa.binary())
+            yield pa.RecordBatch.from_arrays([*columns, left, pa.array(gone, removed)],
                                              names=[*names, "kept", "removed"])
 
-    schema = kept.withColumns({"kept": F.lit(b""), "removed": F.expr("cast(array() as array<struct<start:bigint,length:bigint>>)")}).schema
+    schema = kept.withColumns({"kept": F.lit("" if as_text else b""), "removed": F.expr("cast(array() as array<struct<start:bigint,length:bigint>>)")}).schema
     return joined.mapInArrow(work, schema)
