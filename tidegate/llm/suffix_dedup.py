@@ -269,7 +269,7 @@ def _by_unit(table: pa.Table) -> pa.Table:
     unit, start, count, run = unit[order], start[order], count[order], run[order]
     names, firsts = np.unique(unit, return_index=True)
     out: dict[str, list] = {c.split()[0]: [] for c in _SPANS.split(", ")}
-    for number, a, b in zip(names.tolist(), firsts, [*firsts[1:], len(unit)], strict=True):
+    for number, a, b in zip(names.tolist(), firsts, [*firsts[1:], len(unit)][:len(names)], strict=True):
         part, covered = slice(a, b), run[a:b] == 0
         starts, ends = _merge(start[part][covered], (start[part] + count[part])[covered])
         for name, value in zip(out, (units[number]["name"], units[number]["doc_id"], starts.astype(np.uint32).tobytes(), ends.astype(np.uint32).tobytes(),
