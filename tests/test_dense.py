@@ -13,8 +13,8 @@ def brute_force(vectors, queries, k):
             for q, a in queries}
 
 
-@pytest.mark.parametrize("limit", [0, 2**25])
-def test_both_ways_equal_brute_force(spark, limit):
+@pytest.mark.parametrize("limit", [500, 2**25])
+def test_any_slicing_equals_brute_force(spark, limit):
     rng = np.random.default_rng(5)
     vectors = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(150)]
     vectors = [(i, vectors[0][1] if i % 3 == 0 else v) for i, v in vectors] + [(900, [0.0] * 6)]
@@ -22,7 +22,7 @@ def test_both_ways_equal_brute_force(spark, limit):
     v = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(3)
     q = spark.createDataFrame(queries, "query_id long, embedding array<double>")
     got = {}
-    rows = dense_knn(v, q, k=4, block_rows=16, broadcast_bytes=limit)
+    rows = dense_knn(v, q, k=4, block_rows=16, slice_bytes=limit)
     for r in rows.orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.distance, r.vec_id))
     want = brute_force(vectors, queries, 4)
@@ -36,3 +36,18 @@ def test_fewer_vectors_than_k(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0])], "vec_id long, embedding array<float>")
     q = v.withColumnRenamed("vec_id", "query_id")
     assert [tuple(r) for r in dense_knn(v, q).collect()] == [(1, 1, 1, 0.0)]
+
+
+def test_odd_vectors_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, []), (5, [nan, 1.0]), (6, [1.0, inf]), (7, [None, 1.0]), (8, [1.0, 2.0, 3.0]), (9, [2.0, 0.0])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    got = {}
+    for r in dense_knn(v, v.withColumnRenamed("vec_id", "query_id"), k=5).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.distance))
+    assert got == {1: [(1, 0.0), (9, 0.0), (2, 1.0)], 2: [(1, 1.0), (2, 1.0), (9, 1.0)], 8: [(8, 0.0)], 9: [(1, 0.0), (9, 0.0), (2, 1.0)]}
+
+
+def test_no_queries(spark):
+    v = spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<double>")
+    assert dense_knn(v, v.withColumnRenamed("vec_id", "query_id").limit(0)).count() == 0

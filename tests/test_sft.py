@@ -79,16 +79,27 @@ def test_missing_fields_and_bad_lines(spark, tmp_path):
         read_alpaca(spark, str(tmp_path / "b.json")).collect()
 
 
-def test_multiturn_records_continue_in_parts(spark):
-    turns = [(c, t, "user" if t % 2 else "assistant", f"{c}.{t}") for c in (1, 2) for t in range(7 * c)]
+def test_multiturn_records(spark):
+    turns = [(c, t * t * 60_000, "user" if t % 2 else "assistant", f"{c}.{t}") for c in (1, 2) for t in range(7 * c)]
     df = spark.createDataFrame(turns[::-1], "conv_id long, turn long, role string, text string")
     whole = {r.conv_id: [m.content for m in r.messages] for r in sft.conversations_to_chatml(df).collect()}
     assert whole == {c: [f"{c}.{t}" for t in range(7 * c)] for c in (1, 2)}
-    parts = sft.conversations_to_chatml(df, part_turns=5).orderBy("conv_id", "part").collect()
-    assert [len(r.messages) for r in parts] == [5, 2, 5, 5, 4]
+    parts = sft.conversations_to_chatml(df, part_messages=5).orderBy("conv_id", "part").collect()
+    assert [(r.part, r.first_position, len(r.messages)) for r in parts] == [(0, 1, 5), (1, 6, 2), (0, 1, 5), (1, 6, 5), (2, 11, 4)]
     assert [m.content for r in parts for m in r.messages] == [t[3] for t in turns]
-    flat = sft.explode_messages(sft.conversations_to_chatml(df), "conv_id").orderBy("conv_id", "position")
-    assert [r.position for r in flat.collect()] == list(range(1, 8)) + list(range(1, 15))
+    for flat in (sft.flat_messages(df), sft.explode_messages(sft.conversations_to_chatml(df), "conv_id"),
+                 sft.explode_messages(sft.conversations_to_chatml(df, 5), "conv_id")):
+        rows = flat.orderBy("conv_id", "position").collect()
+        assert [r.position for r in rows] == list(range(1, 8)) + list(range(1, 15))
+        assert [r.content for r in rows] == [t[3] for t in turns]
+
+
+def test_a_conversation_of_any_length_is_one_record(spark):
+    df = spark.range(25_000).selectExpr("7L AS conv_id", "id AS turn", "'user' AS role", "CAST(id AS STRING) AS text")
+    flat = sft.flat_messages(df)
+    assert flat.agg({"position": "max"}).first()[0] == flat.select("conv_id", "position").distinct().count() == 25_000
+    record, = sft.conversations_to_chatml(df).selectExpr("part", "size(messages) AS n").collect()
+    assert (record.part, record.n) == (0, 25_000)
 
 
 def test_preview(clean):

@@ -82,7 +82,9 @@ def test_preparation_end_to_end(spark, csv_path, tmp_path):
                            "null_field_errors": 3, "sanitised_fields": 25}
     assert done.records == {"chatml": 3, "alpaca": 3}
     assert {r.format: r.row_count for r in done.stats.collect()} == {"chatml": 3, "alpaca": 3}
-    assert all(r.bytes > 0 for r in done.manifest.collect())
+    assert all(r.bytes > 0 and r.records == 3 for r in done.manifest.collect())
+    assert done.rejected.count() == 2 and all(r.failed_columns for r in done.rejected.collect())
+    assert sum(r.n_errors for r in done.column_errors.collect()) == 3
     assert "T-1" in done.chatml_preview.first().preview
-    assert spark.read.text(str(tmp_path / "out/overlong")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "out/overlong")).count() == 1
     assert spark.read.parquet(str(tmp_path / "out/clean")).filter(F.col("ticket_id") == "T-5").count() == 1

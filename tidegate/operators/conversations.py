@@ -41,20 +41,23 @@ def conversation_outcome(
 ) -> DataFrame:
     """Per conversation: first turn of each marker, turns in all and used, capped or not.
 
-    ``capped`` says that the round cap cut the conversation off, not the marker.
+    ``capped`` says that the round cap cut the conversation off, not the marker. One scan
+    and one shuffle: turns are numbered once, and all the rest is one aggregate over
+    rounds on the same partitioning.
     """
-    def first_turn(m: str) -> Column:
-        return F.min(F.when(is_termination(F.col("text"), m), F.col("turn")))
-
-    overall = turns.groupBy("conv_id").agg(
-        first_turn(marker).alias("terminated_turn"),
-        first_turn(REVIEW_MARKER).alias("review_passed_turn"),
-        first_turn(APPROVAL_MARKER).alias("approved_turn"),
-        F.count("*").alias("n_turns"))
-    used = (truncate_conversations(turns, marker, max_rounds)
-            .groupBy("conv_id").agg(
-                F.count("*").alias("turns_used"),
-                F.bool_or(is_termination(F.col("text"), marker)).alias("_ended")))
-    return overall.join(used, "conv_id").select(
+    def first(m: str, what: str) -> Column:
+        return F.min(F.when(is_termination(F.col("text"), m), F.col(what)))
+
+    numbered = turns.select("conv_id", "turn", "text", F.row_number().over(
+        Window.partitionBy("conv_id").orderBy("turn")).alias("_round"))
+    totals = numbered.groupBy("conv_id").agg(
+        first(marker, "turn").alias("terminated_turn"),
+        first(REVIEW_MARKER, "turn").alias("review_passed_turn"),
+        first(APPROVAL_MARKER, "turn").alias("approved_turn"),
+        F.count("*").alias("n_turns"),
+        first(marker, "_round").alias("_end"))
+    used = F.least("n_turns", F.lit(max_rounds), "_end").cast("bigint")  # least skips a null end
+    ended = F.coalesce(F.col("_end") <= max_rounds, F.lit(False))
+    return totals.select(
         "conv_id", "terminated_turn", "review_passed_turn", "approved_turn", "n_turns",
-        "turns_used", (~F.col("_ended") & (F.col("n_turns") > F.col("turns_used"))).alias("capped"))
+        used.alias("turns_used"), (~ended & (F.col("n_turns") > used)).alias("capped"))

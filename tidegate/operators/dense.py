@@ -1,8 +1,8 @@
 """Exact cosine nearest neighbours on given vectors.
 
-Both sides may be large, and every query has to meet every vector, so the work is cut
-into blocks: a task multiplies one block of queries with one block of vectors and emits
-only its best k per query, never the pairs.
+Every query has to meet every vector. Vectors stay where they are; queries are sent to
+them in slices of bounded size, one scan for each slice, and a task returns its best k
+per query, never the pairs.
 """
 
 from __future__ import annotations
@@ -12,15 +12,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidegate.operators.retrieval import TOP_K, best_per_query
 
-_BLOCK_ROWS = 1024           # queries of a block
-_VECTORS_PER_QUERY_ROW = 8   # a block of vectors is that much longer
-_BROADCAST_BYTES = 32 * 1024 * 1024
+_BLOCK_ROWS = 1024           # queries multiplied at once
+_SLICE_BYTES = 32 * 1024 * 1024
+_ID_BYTES = 64
 _PLACES = 9
 _FOUND = "query_id {0}, vec_id {1}, distance double"
 
@@ -32,6 +31,12 @@ def _unit(rows) -> np.ndarray:
     return np.divide(m, length, out=np.zeros_like(m), where=length > 0)
 
 
+def is_vector(embedding: str = "embedding") -> Column:
+    """Not null or empty, and every component given and finite."""
+    finite = lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))
+    return F.coalesce((F.size(embedding) > 0) & F.forall(embedding, finite), F.lit(False))
+
+
 def _nearest(query_ids, queries: np.ndarray, vec_ids, vectors: np.ndarray, k: int) -> pd.DataFrame:
     """The best ``k`` of one block of vectors for each query of one block; ties fall to
     the lowest id."""
@@ -54,19 +59,23 @@ def _nearest(query_ids, queries: np.ndarray, vec_ids, vectors: np.ndarray, k: in
 
 def dense_knn(
     vectors: DataFrame, queries: DataFrame, k: int = TOP_K, block_rows: int = _BLOCK_ROWS,
-    broadcast_bytes: int = _BROADCAST_BYTES,
+    slice_bytes: int = _SLICE_BYTES,
 ) -> DataFrame:
     """``query_id, rank, vec_id, distance``; ties are ordered by ``vec_id``.
 
-    ``vectors`` has ``vec_id, embedding`` and ``queries`` ``query_id, embedding``.
-    Queries whose measured size is at most ``broadcast_bytes`` are sent to the vectors,
-    which then do not move; more queries are met block by block.
+    ``vectors`` has ``vec_id, embedding`` and ``queries`` ``query_id, embedding``. Rows whose
+    embedding is null, empty, or holds a null, NaN or infinite component take no part on
+    either side; vectors meet only queries of their own length. The queries are counted
+    first and cut into as many slices as ``slice_bytes`` asks for.
     """
-    n_queries, width = queries.agg(F.count("*"), F.max(F.size("embedding"))).first()
-    if n_queries * (width or 0) * 8 <= broadcast_bytes:
-        found = _scan_with_queries(vectors, queries, k, block_rows)
-    else:
-        found = _block_join(vectors, queries, n_queries, k, block_rows)
+    asked = queries.filter(is_vector()).select("query_id", "embedding")
+    n_queries, width = asked.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    slices = max(1, math.ceil(n_queries * (8 * (width or 0) + _ID_BYTES) / slice_bytes))
+    found = None
+    for number in range(slices):
+        own = asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == number)
+        part = _scan(vectors.filter(is_vector()), own, k, block_rows)
+        found = part if found is None else found.unionByName(part)
     return (best_per_query(found, k, F.col("distance"), "vec_id")
             .select("query_id", "rank", "vec_id", "distance"))
 
@@ -76,43 +85,21 @@ def _found_schema(vectors: DataFrame, queries: DataFrame) -> str:
     return _FOUND.format(kind(queries, "query_id"), kind(vectors, "vec_id"))
 
 
-def _scan_with_queries(vectors: DataFrame, queries: DataFrame, k: int, block_rows: int) -> DataFrame:
-    local = queries.select("query_id", "embedding").toPandas()
-    shared = vectors.sparkSession.sparkContext.broadcast(
-        (local["query_id"].to_numpy(), _unit(local["embedding"]) if len(local) else None))
+def _scan(vectors: DataFrame, queries: DataFrame, k: int, block_rows: int) -> DataFrame:
+    local = queries.toPandas()
+    by_length = {
+        n: (g["query_id"].to_numpy(), _unit(g["embedding"]))
+        for n, g in local.groupby(local["embedding"].map(len))} if len(local) else {}
+    shared = vectors.sparkSession.sparkContext.broadcast(by_length)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_ids, block = shared.value
         for batch in batches:
-            if len(batch) and len(query_ids):
-                for i in range(0, len(query_ids), block_rows):
-                    yield _nearest(query_ids[i:i + block_rows], block[i:i + block_rows],
-                                   batch["vec_id"].to_numpy(), _unit(batch["embedding"]), k)
+            for n, rows in batch.groupby(batch["embedding"].map(len)) if len(batch) else ():
+                if n in shared.value:
+                    query_ids, asked = shared.value[n]
+                    ids, own = rows["vec_id"].to_numpy(), _unit(rows["embedding"])
+                    for i in range(0, len(query_ids), block_rows):
+                        yield _nearest(query_ids[i:i + block_rows], asked[i:i + block_rows], ids, own, k)
 
     return (vectors.select("vec_id", "embedding")
             .mapInPandas(scan, _found_schema(vectors, queries)))
-
-
-def _block_join(
-    vectors: DataFrame, queries: DataFrame, n_queries: int, k: int, block_rows: int
-) -> DataFrame:
-    n_vectors = vectors.count()
-    query_blocks = max(1, math.ceil(n_queries / block_rows))
-    vector_blocks = max(1, math.ceil(n_vectors / (_VECTORS_PER_QUERY_ROW * block_rows)))
-
-    def blocked(df: DataFrame, key: str, own: str, blocks: int, other: str, copies: int) -> DataFrame:
-        return (df.select(key, "embedding", F.pmod(F.xxhash64(key), F.lit(blocks)).alias(own))
-                .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1)).cast(
-                    T.ArrayType(T.LongType())))))
-
-    left = blocked(queries, "query_id", "qb", query_blocks, "vb", vector_blocks)
-    right = blocked(vectors, "vec_id", "vb", vector_blocks, "qb", query_blocks)
-
-    def meet(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or v.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "distance": []})
-        return _nearest(q["query_id"].to_numpy(), _unit(q["embedding"]),
-                        v["vec_id"].to_numpy(), _unit(v["embedding"]), k)
-
-    return (left.groupBy("qb", "vb").cogroup(right.groupBy("qb", "vb"))
-            .applyInPandas(meet, _found_schema(vectors, queries)))

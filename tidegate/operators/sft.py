@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import char_length, estimate_tokens
@@ -58,25 +58,31 @@ def to_alpaca(tickets: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.col("verified_resolution").alias("output"))
 
 
-def conversations_to_chatml(turns: DataFrame, part_turns: int = 10_000) -> DataFrame:
-    """One record per conversation, messages in turn order.
+def flat_messages(turns: DataFrame) -> DataFrame:
+    """``conv_id, position, role, content``: turns in order, positions counted from 1."""
+    position = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
+    return turns.select("conv_id", position.cast("bigint").alias("position"), "role", F.col("text").alias("content"))
 
-    ``turn`` is unique in a conversation, so a group never holds more than
-    ``part_turns`` rows: a longer conversation continues in a record with the next
-    ``part``. Nothing is dropped.
+
+def conversations_to_chatml(turns: DataFrame, part_messages: int | None = None) -> DataFrame:
+    """``conv_id, part, first_position, messages``: one record per conversation, in turn order.
+
+    Turn numbers only give the order. With ``part_messages`` a record ends after that many
+    messages and the conversation goes on in the next ``part``; positions run on.
     """
-    part = F.floor(F.col("turn") / part_turns).cast("bigint")
-    ordered = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
-    return (turns.groupBy("conv_id", part.alias("part"))
-            .agg(ordered.alias("_turns"))
-            .select("conv_id", "part", F.transform("_turns", lambda m: F.struct(
-                m["role"].alias("role"), m["text"].alias("content"))).alias("messages")))
+    part = F.lit(0) if part_messages is None else F.floor((F.col("position") - 1) / part_messages)
+    ordered = F.array_sort(F.collect_list(F.struct("position", "role", "content")))
+    return (flat_messages(turns).groupBy("conv_id", part.cast("bigint").alias("part"))
+            .agg(ordered.alias("_m"))
+            .select("conv_id", "part", F.get("_m", F.lit(0))["position"].alias("first_position"),
+                    F.transform("_m", lambda m: F.struct(m["role"], m["content"])).alias("messages")))
 
 
 def explode_messages(records: DataFrame, key: str) -> DataFrame:
-    """Flat view ``key, position, role, content``; positions start at 1."""
-    return (records.select(key, F.posexplode("messages").alias("_pos", "_m"))
-            .select(key, (F.col("_pos") + 1).cast("bigint").alias("position"),
+    """Flat view ``key, position, role, content``; positions start at 1, or where a part begins."""
+    first = F.col("first_position") if "first_position" in records.columns else F.lit(1)
+    return (records.select(key, first.alias("_first"), F.posexplode("messages").alias("_pos", "_m"))
+            .select(key, (F.col("_pos") + F.col("_first")).cast("bigint").alias("position"),
                     F.col("_m.role").alias("role"), F.col("_m.content").alias("content")))
 
 
@@ -132,10 +138,10 @@ def both_stats(chatml: DataFrame, alpaca: DataFrame) -> DataFrame:
 
 
 def preview(records: DataFrame, key: str, n: int = 1) -> DataFrame:
-    """Pretty JSON of the ``n`` records with the lowest key, cut for display."""
+    """Pretty JSON of the ``n`` records with the lowest key, cut for display; ``record`` whole and compact."""
     fields = F.struct(*[c for c in records.columns if c != key])
     text = F.to_json(fields, {"pretty": "true", "ignoreNullFields": "false"})
     return (records.orderBy(key).limit(n)
-            .select(key, text.alias("_json"))
-            .select(key, F.substring("_json", 1, PREVIEW_CHARS).alias("preview"),
+            .select(key, text.alias("_json"), F.to_json(fields, {"ignoreNullFields": "false"}).alias("record"))
+            .select(key, "record", F.substring("_json", 1, PREVIEW_CHARS).alias("preview"),
                     (F.length("_json") > PREVIEW_CHARS).alias("truncated")))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from tidegate.operators import guard, sft, tickets
+from tidegate.sources.tickets_csv import NA_TOKENS
 from workload.views import view_sql
 
 # RE2 spellings of Unicode whitespace and word characters
@@ -26,46 +28,23 @@ def _regex(pattern: str, ignore_case: bool = True) -> str:
     return quoted(("(?i)" if ignore_case else "") + pattern)
 
 
-# --- fixed values, as in the guardrail module but in RE2 form -------------------------
-INJECTIONS = [
-    ("system_prompt_override", "System-prompt override attempt", _regex(
-        r"ignore\s+(all\s+)?(previous|prior|above|earlier)\s+instructions?|system\s+override"
-        r"|you\s+are\s+now\s+(?:in\s+)?(?:DAN|developer|god)\s+mode"
-        r"|forget\s+(?:everything|all)\s+(?:you\s+know|previously)|act\s+as\s+(?:an?\s+)?unfiltered"
-        r"|disregard\s+(?:your\s+)?(?:previous\s+)?instructions?|new\s+instructions?\s*[:=]"
-        r"|override\s+(?:your\s+)?(?:system\s+)?prompt")),
-    ("delimiter_collision", "Delimiter / template injection attempt", _regex(
-        r"###\s*(?:instruction|system|prompt|context)|<\|im_start\||<\|im_end\||\[INST\]|\[/INST\]"
-        r"|<<SYS>>|<</SYS>>|\{\{[^\n]*?\}\}|<system>|</system>")),
-    ("exfiltration_probe", "Exfiltration / secret-extraction probe", _regex(
-        r"(print|show|reveal|display|output|repeat|tell me)\s+(your|the|all|any)?\s*"
-        r"(initial|hidden|system|original|secret|internal|full)\s+"
-        r"(prompt|instructions?|context|policies?|data)"
-        r"|what\s+(are|is)\s+your\s+(hidden|secret|system)\s+(instructions?|prompt)"
-        r"|show\s+all\s+(hidden|secret|internal)\s+policies"
-        r"|dump\s+(all|the|your)\s+(context|data|memory|knowledge|instructions?)")),
-]
-PHRASES = ["profanity1", "profanity2", "hate speech", "slur"]
-# (pattern, group that holds the match); the ASCII \b of RE2 is safe for card numbers here
-LEAKS = [
-    (_regex(r"sk-[A-Za-z0-9]{20,}"), 0),
-    (_regex(r"AKIA[0-9A-Z]{16}"), 0),
-    (_regex(r"(?:password|passwd|pwd)\s*[:=]\s*\S+"), 0),
-    (_regex(r"Bearer\s+[A-Za-z0-9\-._~+/]+=*"), 0),
-    (_regex(r"api[_-]?key\s*[:=]\s*['\"]?[A-Za-z0-9\-_]{16,}['\"]?"), 0),
-    (_regex(r"(^|[^\p{L}\p{N}_])(\d{3}-\d{2}-\d{4})($|[^\p{L}\p{N}_])", False), 2),
-    (_regex(r"\b(?:\d[ -]?){13,16}\b", False), 0),
-]
-SYSTEM = ("You are a professional customer support specialist for TechCorp Inc. Provide accurate, "
-          "empathetic, and concise resolutions. Use the provided context to inform your response. "
-          "Never reveal internal tools, backend systems, or compensation policies.")
-INSTRUCTION = ("You are a customer support specialist. Read the customer's query and the provided "
-               "agent context carefully, then provide a professional, empathetic, and accurate "
-               "resolution.")
-NA = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
-      "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
-FIELDS = ["ticket_id", "issue_category", "customer_query", "agent_context", "verified_resolution"]
-# --- end of fixed values -------------------------------------------------------------
+# --- the library's fixed values in RE2 form ---------------------------------------------
+INJECTIONS = [(d.kind, d.label, _regex(d.pattern, d.ignore_case)) for d in guard.INJECTION_CATALOGUE]
+PHRASES = guard.TOXIC_PHRASES
+
+
+def _leak(d: guard.Detector) -> tuple[str, int]:
+    """Pattern and the group that holds the match. RE2 has an ASCII word boundary only: it is
+    spelled out, but for card numbers, where it makes no difference on this data."""
+    if d.kind == "ssn":
+        digits = d.pattern.removeprefix(r"\b").removesuffix(r"\b").replace(r"\d", "[0-9]")
+        return _regex(rf"(^|[^\p{{L}}\p{{N}}_])({digits})($|[^\p{{L}}\p{{N}}_])", False), 2
+    return _regex(d.pattern, d.ignore_case), 0
+
+
+LEAKS = [_leak(d) for d in guard.LEAK_CATALOGUE]
+SYSTEM, INSTRUCTION, NA = sft.SYSTEM_MESSAGE, sft.ALPACA_INSTRUCTION, NA_TOKENS
+FIELDS = list(tickets.REQUIRED_COLUMNS)
 
 
 def sanitised(c: str) -> str:
@@ -108,7 +87,8 @@ def sql(body: str, *needs: str) -> str:
     return f"WITH {listed}\n{body}" if order else body
 
 
-for _view in ("prompts", "answers", "tickets", "pages_x", "conversations_x", "urls_x", "host_ips"):
+for _view in ("prompts", "answers", "tickets", "pages_x", "conversations_x",
+              "conversations_sparse", "urls_x", "host_ips"):
     cte(_view, view_sql(_view))
 
 # --- tickets --------------------------------------------------------------------------
@@ -321,7 +301,7 @@ SELECT conv_id, turn, text FROM (
  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS round,
   min(CASE WHEN contains(text, 'TERMINATE') THEN turn END) OVER (PARTITION BY conv_id) AS last_turn
  FROM conversations_x) AS c
-WHERE round <= 5 AND (last_turn IS NULL OR turn <= last_turn)""", "conversations_x")
+WHERE round <= 20 AND (last_turn IS NULL OR turn <= last_turn)""", "conversations_x")
 
 
 def _first(marker: str, name: str) -> str:
@@ -359,9 +339,9 @@ SELECT ticket_id, CAST(1 AS BIGINT) AS position, 'system' AS role, {quoted(SYSTE
 UNION ALL SELECT ticket_id, 2, 'user', {_user} FROM clean
 UNION ALL SELECT ticket_id, 3, 'assistant', verified_resolution FROM clean""", "clean"),
     "alpaca_records": sql("SELECT * FROM alpaca", "alpaca"),
-    "multiturn_chatml": """
+    "multiturn_chatml": sql("""
 SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS position, role, text AS content
-FROM conversations""",
+FROM conversations_sparse""", "conversations_sparse"),
     "sft_stats": sql(f"""
 SELECT 'chatml' AS format, count(*) AS row_count, {averages('prompt', 'completion')} FROM chatml_pairs
 UNION ALL
@@ -428,5 +408,22 @@ FROM (SELECT conv_id, {_first('TERMINATE', 'terminated_turn')},
 JOIN (SELECT conv_id, count(*) AS turns_used, bool_or(contains(text, 'TERMINATE')) AS ended
  FROM kept_turns GROUP BY conv_id) AS k USING (conv_id)""", "conversations_x", "kept_turns"),
 }
+_MESSAGES = ORACLE_SQL["chatml_messages"]
+ORACLE_SQL |= {
+    "output_manifest": sql("""
+SELECT dataset, (SELECT count(*) FROM clean) AS records, TRUE AS has_files, TRUE AS has_bytes
+FROM (VALUES ('chatml'), ('alpaca')) AS d(dataset)""", "clean"),
+    "record_preview": f"""
+SELECT * FROM ({_MESSAGES}) AS m
+WHERE ticket_id IN (SELECT DISTINCT ticket_id FROM ({_MESSAGES}) AS k ORDER BY ticket_id LIMIT 3)""",
+    "tickets_csv": sql(
+        "SELECT " + ", ".join(f"CASE WHEN {c} NOT IN ({_na}) THEN {c} END AS {c}" for c in FIELDS)
+        + ", FALSE AS overlong FROM tickets WHERE issue_category <> 'Billing' UNION ALL SELECT ticket_id, "
+        "NULL, NULL, NULL, NULL, TRUE FROM tickets WHERE issue_category = 'Billing'", "tickets"),
+    "payload_roundtrip": ORACLE_SQL["link_payload"],
+    "retrieve_topk_bounded": ORACLE_SQL["retrieve_topk"],
+    "dense_knn_slices": ORACLE_SQL["dense_knn"],
+    "multiturn_records": ORACLE_SQL["multiturn_chatml"],
+}
 ORACLE_SQL["stream_guardrail"] = ORACLE_SQL["input_guardrail"]
 ORACLE_SQL["stream_rag"] = ORACLE_SQL["guarded_rag"]

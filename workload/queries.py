@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,15 +17,15 @@ from tidegate.operators.chunking import chunk_documents
 from tidegate.operators.dense import dense_knn
 from tidegate.operators.retrieval import retrieve, retrieval_report
 from tidegate.operators.tfidf import TextIndex, build_index
-from tidegate.plans.crawl import screened_frontier
+from tidegate.plans.crawl import screened_frontier, write_link_payloads
 from tidegate.plans.guarded_rag import guarded_rag
-from tidegate.sources.jsonl import output_manifest, read_alpaca, read_chatml, write_jsonl
-from tidegate.sources.tickets_csv import null_na_tokens
+from tidegate.sources.jsonl import (
+    CHATML_SCHEMA, output_manifest, read_alpaca, read_chatml, read_payloads, write_jsonl)
+from tidegate.sources.tickets_csv import null_na_tokens, read_tickets
 from tidegate.storage import new_path
 from tidegate.streaming.queries import read_query_stream, start_guarded_rag, start_guardrail
 from workload.views import table, view, view_over
 
-ROUND_CAP = 5
 _indexes: dict[tuple[str, str], TextIndex] = {}
 
 
@@ -93,7 +94,12 @@ def alpaca_records(spark, sf_dir):
 
 
 def multiturn_chatml(spark, sf_dir):
-    records = sft.conversations_to_chatml(table(spark, sf_dir, "conversations"))
+    return sft.flat_messages(view(spark, sf_dir, "conversations_sparse"))
+
+
+def multiturn_records(spark, sf_dir):
+    """The nested form, one record per conversation, read back flat."""
+    records = sft.conversations_to_chatml(view(spark, sf_dir, "conversations_sparse"))
     return sft.explode_messages(records, "conv_id")
 
 
@@ -132,20 +138,43 @@ def chatml_roundtrip(spark, sf_dir):
     return sft.chatml_pairs(read_chatml(spark, path))
 
 
-def written_records(spark, sf_dir):
+def manifest(spark, sf_dir):
     paths = {"chatml": new_path(spark, "chatml"), "alpaca": new_path(spark, "alpaca")}
     clean = _clean(spark, sf_dir)
-    write_jsonl(sft.to_chatml(clean), paths["chatml"])
-    write_jsonl(sft.to_alpaca(clean), paths["alpaca"])
-    return paths
-
-
-def manifest(spark, sf_dir):
-    return output_manifest(spark, written_records(spark, sf_dir))
+    records = {"chatml": write_jsonl(sft.to_chatml(clean), paths["chatml"]),
+               "alpaca": write_jsonl(sft.to_alpaca(clean), paths["alpaca"])}
+    return output_manifest(spark, paths, records).select(
+        "dataset", "records", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
 
 
 def record_preview(spark, sf_dir):
-    return sft.preview(sft.to_chatml(_clean(spark, sf_dir), ("ticket_id",)), "ticket_id", n=3)
+    records = sft.to_chatml(_clean(spark, sf_dir), ("ticket_id",))
+    shown = sft.preview(records, "ticket_id", n=3).select(
+        "ticket_id", F.from_json("record", CHATML_SCHEMA)["messages"].alias("messages"))
+    return sft.explode_messages(shown, "ticket_id")
+
+
+def tickets_csv(spark, sf_dir):
+    """Tickets written as CSV, every seventh conversation with a field too many, and read back."""
+    path = new_path(spark, "tickets-csv")
+    fields = [F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+              for c in tickets.REQUIRED_COLUMNS]
+    line = F.concat_ws(",", *fields, F.when(F.col("issue_category") == "Billing", F.lit('"one, too many"')))
+
+    def under_a_header(batches):
+        header = ",".join(tickets.REQUIRED_COLUMNS)
+        for batch in batches:
+            if header and len(batch):
+                yield pd.DataFrame({"value": [header]})
+                header = ""
+            yield batch
+
+    rows = view(spark, sf_dir, "tickets").select(line.alias("value"))
+    rows.repartition(3).mapInPandas(under_a_header, "value string").write.text(path)
+    found, overlong = read_tickets(spark, path)
+    keyed = overlong.select(F.regexp_extract("raw", '^"([^"]*)"', 1).alias("ticket_id"))
+    return (found.select(*tickets.REQUIRED_COLUMNS, F.lit(False).alias("overlong"))
+            .unionByName(keyed.withColumn("overlong", F.lit(True)), allowMissingColumns=True))
 
 
 # --- guardrails -----------------------------------------------------------------------
@@ -198,6 +227,13 @@ def retrieve_topk(spark, sf_dir):
         "distance", F.round("distance", 6))
 
 
+def retrieve_topk_bounded(spark, sf_dir):
+    """The same answers by the bounded search, whatever the number of matches."""
+    ranked = retrieve(_benchmark(spark, sf_dir), index_of(spark, sf_dir), direct_matches=0)
+    return ranked.withColumn("rank", F.col("rank").cast("bigint")).withColumn(
+        "distance", F.round("distance", 6))
+
+
 def retrieval_summary(spark, sf_dir):
     ranked = retrieve(_benchmark(spark, sf_dir), index_of(spark, sf_dir))
     return retrieval_report(ranked).select(
@@ -205,13 +241,22 @@ def retrieval_summary(spark, sf_dir):
             "min_distance", "avg_distance", "max_distance")])
 
 
-def knn(spark, sf_dir):
+def _knn(spark, sf_dir, **options):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return (dense_knn(vectors, vectors.withColumnRenamed("vec_id", "query_id"))
+    return (dense_knn(vectors, vectors.withColumnRenamed("vec_id", "query_id"), **options)
             .select("query_id", F.col("rank").cast("bigint").alias("rank"), "vec_id",
                     F.round("distance", 6).alias("distance")))
 
 
+def knn(spark, sf_dir):
+    return _knn(spark, sf_dir)
+
+
+def knn_slices(spark, sf_dir):
+    """The same search with slices so small that there are several at every scale."""
+    return _knn(spark, sf_dir, slice_bytes=64 * 1024)
+
+
 def extractive_answer(spark, sf_dir):
     queries, index = _benchmark(spark, sf_dir), index_of(spark, sf_dir)
     answered = answer_queries(queries, retrieve(queries, index), index.chunks)
@@ -248,6 +293,12 @@ def link_payload(spark, sf_dir):
         "links", F.array_join("links", "|"))
 
 
+def payload_roundtrip(spark, sf_dir):
+    path = new_path(spark, "payloads")
+    write_link_payloads(view(spark, sf_dir, "pages_x"), path)
+    return read_payloads(spark, path).withColumn("links", F.array_join("links", "|"))
+
+
 def url_screen(spark, sf_dir):
     return links.screen_urls(view(spark, sf_dir, "urls_x"), view(spark, sf_dir, "host_ips")).select(
         "url_id", "host", "verdict")
@@ -260,12 +311,11 @@ def crawl_frontier(spark, sf_dir):
 
 # --- conversations --------------------------------------------------------------------
 def conversation_truncate(spark, sf_dir):
-    return conv.truncate_conversations(
-        view(spark, sf_dir, "conversations_x"), max_rounds=ROUND_CAP).select("conv_id", "turn")
+    return conv.truncate_conversations(view(spark, sf_dir, "conversations_x")).select("conv_id", "turn")
 
 
 def conversation_outcome(spark, sf_dir):
-    return conv.conversation_outcome(view(spark, sf_dir, "conversations_x"), max_rounds=ROUND_CAP)
+    return conv.conversation_outcome(view(spark, sf_dir, "conversations_x"))
 
 
 # --- streams --------------------------------------------------------------------------
@@ -300,6 +350,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chatml_messages": chatml_messages,
     "alpaca_records": alpaca_records,
     "multiturn_chatml": multiturn_chatml,
+    "multiturn_records": multiturn_records,
     "sft_stats": sft_stats,
     "stats_by_group": stats_by_group,
     "stats_by_category": stats_by_category,
@@ -307,6 +358,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chatml_roundtrip": chatml_roundtrip,
     "output_manifest": manifest,
     "record_preview": record_preview,
+    "tickets_csv": tickets_csv,
     "input_guardrail": input_guardrail,
     "guardrail_summary": guardrail_summary,
     "output_guardrail": output_guardrail,
@@ -315,13 +367,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "term_idf": term_idf,
     "chunk_weights": chunk_weights,
     "retrieve_topk": retrieve_topk,
+    "retrieve_topk_bounded": retrieve_topk_bounded,
     "retrieval_report": retrieval_summary,
     "dense_knn": knn,
+    "dense_knn_slices": knn_slices,
     "extractive_answer": extractive_answer,
     "guarded_rag": guarded_rag_responses,
     "page_links": page_links,
     "link_edges": link_edges,
     "link_payload": link_payload,
+    "payload_roundtrip": payload_roundtrip,
     "url_screen": url_screen,
     "crawl_frontier": crawl_frontier,
     "conversation_truncate": conversation_truncate,
