@@ -2,7 +2,8 @@
 
 Intermediate results that several later steps read are written as Parquet under the
 shared folder the session names in ``spark.checkpoint.dir``, so they survive the loss
-of executors and give the optimizer real sizes to decide on.
+of executors and give the optimizer real sizes to decide on. ``Scratch`` holds those of one
+call and deletes them when the call has written its result.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_SCAN_PARTITION_BYTES = 128 * 1024 * 1024
+_local_folders: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,9 +24,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
-    local = tempfile.mkdtemp(prefix="tidegate-")
-    spark.conf.set(_SETTING, local)
-    return local
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="tidegate-")
+    return _local_folders[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -35,18 +37,45 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and continue from the written table."""
-    path = new_path(df.sparkSession, name)
+    return _written(df, new_path(df.sparkSession, name))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of a file system that Spark reaches."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Scratch:
+    """Intermediate tables of one call: ``with Scratch(spark) as scratch: ...``.
+
+    What ``materialise`` gives is gone after the block, so only tables written elsewhere
+    may leave it.
+    """
+
+    def __init__(self, spark: SparkSession, name: str = "scratch"):
+        self.spark, self.path = spark, new_path(spark, name)
+
+    def materialise(self, df: DataFrame, name: str) -> DataFrame:
+        return _written(df, f"{self.path}/{name}-{uuid.uuid4().hex}")
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        delete(self.spark, self.path)
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Give a table too small to occupy all cores one partition per core.
+    """Give a table of one file, read whole by one task, one partition per core.
 
-    Heavy per-row work on one small file would otherwise run in a single task. A table
-    whose scan fills the cores by itself is left where it is.
+    Heavy per-row work on it would otherwise run in that task. Tables of several files are
+    left where they are.
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * _SCAN_PARTITION_BYTES else df
+    return df.repartition(spark.sparkContext.defaultParallelism) if len(df.inputFiles()) == 1 else df

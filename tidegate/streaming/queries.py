@@ -14,6 +14,7 @@ from tidegate.operators.guard import guard_queries
 from tidegate.operators.retrieval import TOP_K
 from tidegate.operators.tfidf import TextIndex
 from tidegate.plans.guarded_rag import guarded_rag
+from tidegate.storage import Scratch
 
 
 def read_query_stream(
@@ -47,7 +48,8 @@ def start_guarded_rag(
 ) -> StreamingQuery:
     """Answer each micro-batch as a query table against the stored index.
 
-    A batch writes its own ``batch_id=N`` folder and overwrites it when it is replayed.
+    A batch is read from the source once. It writes its own ``batch_id=N`` folder,
+    overwrites it when it is replayed, and leaves nothing else.
     """
     return (usable_queries(queries).writeStream
             .foreachBatch(_answer_batch(index, out, k))
@@ -57,6 +59,8 @@ def start_guarded_rag(
 
 def _answer_batch(index: TextIndex, out: str, k: int) -> Callable[[DataFrame, int], None]:
     def answer(batch: DataFrame, batch_id: int) -> None:
-        guarded_rag(batch, index, k).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        with Scratch(batch.sparkSession) as scratch:
+            asked = scratch.materialise(batch, "batch")
+            guarded_rag(asked, index, k, scratch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return answer

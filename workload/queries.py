@@ -221,17 +221,24 @@ def chunk_weights(spark, sf_dir):
         F.round("weight", 6).alias("weight"))
 
 
-def retrieve_topk(spark, sf_dir):
-    ranked = retrieve(_benchmark(spark, sf_dir), index_of(spark, sf_dir))
+def _topk(spark, sf_dir, **options):
+    ranked = retrieve(_benchmark(spark, sf_dir), index_of(spark, sf_dir), **options)
     return ranked.withColumn("rank", F.col("rank").cast("bigint")).withColumn(
         "distance", F.round("distance", 6))
 
 
-def retrieve_topk_bounded(spark, sf_dir):
-    """The same answers by the bounded search, whatever the number of matches."""
-    ranked = retrieve(_benchmark(spark, sf_dir), index_of(spark, sf_dir), direct_matches=0)
-    return ranked.withColumn("rank", F.col("rank").cast("bigint")).withColumn(
-        "distance", F.round("distance", 6))
+def retrieve_topk(spark, sf_dir):
+    return _topk(spark, sf_dir)
+
+
+def retrieve_topk_terms(spark, sf_dir):
+    """The same answers from the postings of the query terms, however many match."""
+    return _topk(spark, sf_dir, few=float("inf"))
+
+
+def retrieve_topk_chunks(spark, sf_dir):
+    """The same answers from the chunk vectors, however few terms match."""
+    return _topk(spark, sf_dir, few=-1.0)
 
 
 def retrieval_summary(spark, sf_dir):
@@ -367,7 +374,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "term_idf": term_idf,
     "chunk_weights": chunk_weights,
     "retrieve_topk": retrieve_topk,
-    "retrieve_topk_bounded": retrieve_topk_bounded,
+    "retrieve_topk_terms": retrieve_topk_terms,
+    "retrieve_topk_chunks": retrieve_topk_chunks,
     "retrieval_report": retrieval_summary,
     "dense_knn": knn,
     "dense_knn_slices": knn_slices,
