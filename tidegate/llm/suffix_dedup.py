@@ -31,12 +31,12 @@ from .common import join_checked, pieces, prefix_hash, span_hash, utf8
 from .jaccard import hash_of
 
 LENGTH = 50
-GRAM = 16
+GRAM = 24
 SHALLOW = 24
 #: Windows of one run; a longer run, as in periodic text, goes on as a new one.
 RUN = 64
-BATCH_RUNS = 400_000
-_PIECE = 1 << 20
+BATCH_RUNS = 200_000
+_PIECE = 1 << 19
 _NONE = (1 << 63) - 1
 _TYPES = {"gram": np.uint32, "run": np.uint64, "unit": np.uint16, "start": np.uint32, "count": np.uint8}
 
@@ -359,7 +359,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, slices: int | None = N
     that repeat an id none removes from the other. A null id counts as larger than any.
     Other columns stay; columns with the two names are replaced.
     """
-    slices = slices or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = slices or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("doc_id"), "text").where(F.octet_length("text") >= length)
     windows = repeated_windows(rows, length, slices)
     # covered windows of a unit from both steps, in as many rows as there were batches
