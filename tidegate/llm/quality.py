@@ -8,6 +8,7 @@ calibration fitted on rows that built neither dictionary.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -95,6 +96,13 @@ def _dictionary(texts: list[bytes]) -> bytes:
         return b"".join(samples)[-DICTIONARY_BYTES:]
 
 
+def _own_lines(texts: list[bytes]) -> list[bytes]:
+    """The lines of each text that no other text has: shared ones would mark whoever holds them."""
+    lines = [set(t.split(b"\n")) for t in texts]
+    count = Counter(line for own in lines for line in own)
+    return [b"\n".join(line for line in t.split(b"\n") if count[line] == 1) for t in texts]
+
+
 def _calibrate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Ridge-damped logistic regression by Newton steps."""
     z, damp = _expand(x), 1e-3 * len(y) + 1e-6
@@ -107,15 +115,20 @@ def _calibrate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+def clear_labels(labels: DataFrame) -> DataFrame:
+    """``doc_id, quality`` outside the held-out quarter; contradicting and null labels are left out."""
+    return (labels.where(~is_held_out() & F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
+            .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("high"))
+            .where("quality = high").select("doc_id", "quality"))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
     """At most ``per_class`` labelled rows of each class outside the held-out quarter: doc_id, quality, text.
 
     The rows are those with the smallest hash of their id, so the sample does not depend on
-    the layout. Labels that contradict each other, null labels and null texts are not used.
+    the layout. Null and empty texts are not used.
     """
-    clear = (labels.where(~is_held_out() & F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
-             .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("high"))
-             .where("quality = high").select("doc_id", "quality", F.xxhash64("doc_id").alias("place")))
+    clear = clear_labels(labels).withColumn("place", F.xxhash64("doc_id"))
     picked = [clear.where(F.col("quality") == q).orderBy("place", "doc_id").limit(per_class) for q in (0, 1)]
     sample = F.broadcast(picked[0].unionByName(picked[1]))
     return (docs.where("text is not null and length(text) > 0").select("doc_id", "text").join(sample, "doc_id")
@@ -125,18 +138,24 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PE
 def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> QualityModel:
     """Fit on a bounded sample (see ``training_rows``); one half builds dictionaries, the other calibrates.
 
+    The sample may hold the classes in other shares than the labels do; the calibration is
+    shifted to the shares of all labels, so that scores are probabilities among them.
     Without labelled rows of both classes the score is the share of label 1, 0.5 if there is none.
     """
     rows = sorted((r.place, r.doc_id, r.quality, bytes(r.text)) for r in training_rows(docs, labels, per_class).collect())
     halves = [[(t, q) for i, (_, _, q, t) in enumerate(rows) if i % 2 == half] for half in (0, 1)]
-    good, bad = (_dictionary([t for t, q in halves[0] if q == side]) for side in (1, 0))
+    own = _own_lines([t for t, _ in halves[0]])
+    good, bad = (_dictionary([t for t, (_, q) in zip(own, halves[0], strict=True) if q == side]) for side in (1, 0))
     texts, y = [t for t, _ in halves[1]], np.array([q for _, q in halves[1]], float)
     if len(set(y)) < 2 or not good or not bad:
         rate = (sum(q for _, _, q, _ in rows) + 1) / (len(rows) + 2)
         return QualityModel(good, bad, np.zeros(3), np.ones(3), np.r_[np.log(rate / (1 - rate)), np.zeros(9)])
     x = _features(texts, good, bad)
     centre, scale = x[y == 1].mean(0), x.std(0) + 1e-9
-    return QualityModel(good, bad, centre, scale, _calibrate(_standard(texts, x, centre, scale), y))
+    weights = _calibrate(_standard(texts, x, centre, scale), y)
+    counts = {r.quality: r["count"] for r in clear_labels(labels).groupBy("quality").count().collect()}
+    weights[0] += np.log(counts[1] / counts[0]) - np.log(y.sum() / (len(y) - y.sum()))
+    return QualityModel(good, bad, centre, scale, weights)
 
 
 def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
