@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +24,11 @@ from .common import pieces, remembered
 
 #: The usual byte-level word pattern (fixed value).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words remembered by one Python worker; the memory starts anew beyond it, which changes no result.
+#: Words remembered by one Python worker. Half of them are forgotten at a time, those not seen since
+#: the last time; it changes no result.
 REMEMBERED = 400_000
+_SHORT = 64
+_NO_MERGE = (1 << 60, -1)
 
 
 def _byte_of() -> dict[str, int]:
@@ -50,6 +54,7 @@ class Codec:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words = regex.compile(WORDS)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.compatible: dict[int, bool] = {}
         self.span = max(map(len, self.id_of))
         self.proposed = {t: i for t, i in self.id_of.items() if self.merge(t) == [i]}
@@ -57,6 +62,22 @@ class Codec:
     def merge(self, word: bytes) -> list[int]:
         """Exact encoding of one word: always the merge of lowest rank, the leftmost of equals."""
         ids = [self.id_of[word[i:i + 1]] for i in range(len(word))]
+        if len(ids) > _SHORT:
+            return self._merge_long(ids)
+        rank = self.rank
+        ranks = [rank.get(pair, _NO_MERGE) for pair in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks)) is not _NO_MERGE:
+            i = ranks.index(best)
+            ids[i:i + 2] = [best[1]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank.get((ids[i], ids[i + 1]), _NO_MERGE)
+            if i:
+                ranks[i - 1] = rank.get((ids[i - 1], ids[i]), _NO_MERGE)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap, in n log n steps."""
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         heap = [(r[0], i, a, b, r[1]) for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False)) if (r := self.rank.get((a, b)))]
         heapq.heapify(heap)
@@ -95,7 +116,7 @@ class Codec:
         inside = owner[1:] == owner[:-1]
         pairs = ((flat[:-1] << 32) | flat[1:])[inside]
         distinct, place = np.unique(pairs, return_inverse=True)
-        if len(self.compatible) > 4 * REMEMBERED:
+        if len(self.compatible) > REMEMBERED:
             self.compatible.clear()
         for pair in distinct.tolist():
             if pair not in self.compatible:
@@ -107,15 +128,19 @@ class Codec:
         for i in np.flatnonzero(failing).tolist():
             proposals[i] = self.merge(texts[i])
         for word, ids in zip(words, proposals, strict=True):
-            self.known[word] = np.array(ids, np.int32).tobytes()
+            self.known[word] = array("i", ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of every text; special tokens written in a text are taken as such."""
         cut = [self.cut.split(t) if self.cut else [t] for t in texts]
         words = [[[p] if p in self.special else self.words.findall(p) for p in parts] for parts in cut]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = {w for parts in words for part in parts for w in part} - self.known.keys()
+        used = {w for parts in words for part in parts for w in part}
+        if len(self.known) > REMEMBERED // 2:
+            self.older, self.known = self.known, {}
+        new = used - self.known.keys()
+        again = new & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        new -= again
         special = new & self.special.keys()
         for word in special:
             self.known[word] = np.array([self.special[word]], np.int32).tobytes()
@@ -129,7 +154,7 @@ class Codec:
 
 def codec(content: str) -> Codec:
     """The codec of a tokenizer file's content, built once in a Python worker."""
-    known, key = remembered().setdefault("codecs", {}), hash(content)
+    known, key = remembered("bpe").setdefault("codecs", {}), hash(content)
     if key not in known:
         known.clear()
         known[key] = Codec(content)
