@@ -188,3 +188,11 @@ def test_top_k_of_nothing(spark):
     empty = spark.createDataFrame([], VECTORS)
     one = spark.createDataFrame([(1, [1.0], 1, "x"), (1, [1.0], 1, "x")], VECTORS)
     assert top_k(empty, empty).count() == 0 and top_k(one, one).count() == 0 and top_k(one, empty).count() == 0
+
+
+def test_fewer_words_than_a_shingle():
+    for width in (1, 3, 5):
+        sets = jaccard.shingle_sets([b"one", b"", b"ONE", b"one two"], width)
+        assert [len(s) for s in sets] == [1, 0, 1, 2 if width == 1 else 1]
+        assert sets[0].tolist() == sets[2].tolist()
+    assert jaccard.shingle_sets([], 3) == [] and len(jaccard.shingle_sets([b"  "], 5)[0]) == 0
