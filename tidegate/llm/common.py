@@ -17,9 +17,16 @@ from tidegate.storage import materialise
 BROADCAST_BYTES = 48 * 1024 * 1024
 
 
-def remembered() -> dict:
-    """A dictionary that lasts as long as its Python process: functions reach workers by value, without module state."""
-    return sys.modules.setdefault("_tidegate_remembered", types.ModuleType("_tidegate_remembered")).__dict__
+def remembered(owner: str) -> dict:
+    """A dictionary that lasts in its Python process until another owner asks for one.
+
+    Functions reach workers by value, without module state. Workers outlive stages, so what
+    one operator remembers must not stay while another one works.
+    """
+    module = sys.modules.setdefault("_tidegate_remembered", types.ModuleType("_tidegate_remembered"))
+    if getattr(module, "owner", None) != owner:
+        module.owner, module.kept = owner, {}
+    return module.kept
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +103,7 @@ def pieces(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[p
             rows = max(1, int(batch.num_rows * size / max(1, batch.nbytes)))
             for start in range(0, batch.num_rows, rows):
                 yield batch.slice(start, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def utf8(column: pa.Array) -> list[bytes]:
@@ -109,10 +117,11 @@ _BASE = 0x9E3779B97F4A7C15
 def _power(kind: str, n: int) -> np.ndarray:
     kind = f"powers {kind}"
     base = _BASE if kind.endswith("up") else pow(_BASE, -1, 1 << 64)
-    table = remembered().get(kind)
+    known = remembered("hash")
+    table = known.get(kind)
     if table is None or len(table) < n:
-        size = 1 << max(17, int(n).bit_length())
-        table = remembered()[kind] = np.concatenate(
+        size = (int(n) // (1 << 18) + 1) << 18
+        table = known[kind] = np.concatenate(
             [np.ones(1, np.uint64), np.cumprod(np.full(size, base, np.uint64), dtype=np.uint64)])
     return table[:n]
 

@@ -44,7 +44,8 @@ _TILE = 256
 _COLUMNS = 4096
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_LIMIT = 1 << 22
+#: Bytes of text hashed at once.
+_LIMIT = 1 << 20
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +72,7 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     hashes, owner = word_hashes(texts)
     counts = np.bincount(owner, minlength=len(texts))
     rolled = np.zeros(len(hashes), np.uint64)
-    for i in range(width):
+    for i in range(min(width, len(hashes))):
         rolled[:len(hashes) - i] = rolled[:len(hashes) - i] * np.uint64(0x100000001B3) + hashes[i:]
     rolled, sets, at = mix(rolled), [], 0
     for count in counts.tolist():

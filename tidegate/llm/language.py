@@ -28,15 +28,15 @@ _GRAMS = (2, 3)
 
 def _fold() -> np.ndarray:
     """For each code point its lower-case letter, a space for anything else."""
-    if "fold" not in remembered():
+    if "fold" not in remembered("letters"):
         table = np.full(sys.maxunicode + 1, 32, np.uint32)
         for c in range(sys.maxunicode + 1):
             x = chr(c)
             if x.isalpha():
                 low = x.lower()
                 table[c] = ord(low) if len(low) == 1 else c
-        remembered()["fold"] = table
-    return remembered()["fold"]
+        remembered("letters")["fold"] = table
+    return remembered("letters")["fold"]
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -46,7 +46,7 @@ class QualityModel:
 
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
-    known = remembered().setdefault("compressors", {})
+    known = remembered("zstandard").setdefault("compressors", {})
     if dictionary not in known:
         if len(known) > 7:
             known.clear()
