@@ -53,9 +53,14 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its text."""
-    coded = round_trip(docs.select("doc_id", "source", "text"), public_tokenizers.path("byte_bpe_50k.json"))
-    return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+    """Token ids of every document, its place in the mix, and whether the ids decode to its text.
+
+    Files do not keep an order when they are read, so the place is derived again from the
+    same rows: ``mix_position`` and ``mix_place`` order the result.
+    """
+    placed = mix_sources(docs.select("doc_id", "source", "text"))
+    coded = round_trip(placed, public_tokenizers.path("byte_bpe_50k.json"))
+    return coded.select("doc_id", "source", "mix_position", "mix_place", F.size("ids").cast("long").alias("n_tokens"), "ids",
                         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
 
 

@@ -56,3 +56,14 @@ def test_pipeline_stages_take_odd_and_no_rows(spark, odd_docs):
             if name != "tokens":
                 assert got.columns == docs.columns
         assert corpus_pipeline.quality(spark, docs, DATA).columns == docs.columns
+
+
+def test_the_mix_reaches_the_tokens(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i} " * (1 + i % 50), "abc"[i % 3]) for i in range(2000)], "doc_id long, text string, source string")
+    mixed = corpus_pipeline.mixing(spark, docs, DATA)
+    want = [(x.doc_id, x.source) for x in mixed.collect()]
+    mixed.repartition(7).write.parquet(str(tmp_path / "mixed"))
+    got = corpus_pipeline.tokens(spark, spark.read.parquet(str(tmp_path / "mixed")), DATA)
+    got.write.parquet(str(tmp_path / "tokens"))
+    got = spark.read.parquet(str(tmp_path / "tokens")).orderBy("mix_position", "mix_place")
+    assert [(x.doc_id, x.source) for x in got.collect()] == want
