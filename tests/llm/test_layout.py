@@ -102,3 +102,26 @@ def test_no_python_in_native_operators(make_docs):
     docs = make_docs([(i, "x" * 50) for i in range(50)])
     for df in (shard(docs, 200), mix_sources(docs)):
         assert not any(word in plan_of(df) for word in ("Python", "Arrow", "Pandas"))
+
+
+@pytest.mark.parametrize(("sizes", "weights"), [
+    ({"a": 1200, "b": 600}, {"a": 2, "b": 1}), ({"a": 1500, "b": 200, "c": 60, "d": 7}, None),
+    ({"a": 2400, "b": 5}, {"a": 0.9996, "b": 0.0004}), ({"a": 300, "b": 400, "c": 500}, {"a": 7, "b": 2.5, "c": 1})])
+def test_deviation_from_given_weights_over_many_cycles(sources, sizes, weights):
+    got = mix_sources(sources(sizes), weights, block_rows=1, cycle=10).collect()
+    order = blocks_in_order(got)
+    assert Counter(s for s, _ in order) == sizes
+    weights = weights or {s: n ** 0.5 for s, n in sizes.items()}
+    done, served = Counter(), dict.fromkeys(sizes, 0.0)
+    for source, block in order:
+        assert block == done[source]
+        done[source] += 1
+        left = 1.0
+        while left > 1e-12:  # one slot of the fluid mix, in parts where a source ends
+            open_ = [s for s in sizes if served[s] < sizes[s] - 1e-9]
+            total = sum(weights[s] for s in open_)
+            part = min([left, *((sizes[s] - served[s]) * total / weights[s] for s in open_)]) if open_ else left
+            for s in open_:
+                served[s] += part * weights[s] / total
+            left -= part
+        assert all(abs(done[s] - served[s]) < 1 + 1e-5 for s in sizes)

@@ -38,7 +38,7 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
-def join_checked(left: DataFrame, side: DataFrame, on: str, how: str) -> DataFrame:
+def join_checked(left: DataFrame, side: DataFrame, on: str | list[str], how: str) -> DataFrame:
     """Join with a written table: broadcast if its measured size allows it, shuffled otherwise."""
     sizes = [F.octet_length(c) if t in ("string", "binary") else F.lit(8)
              for c, t in side.dtypes]

@@ -1,12 +1,12 @@
 """Mixing sources to target weights by Pfair scheduling, in DataFrame operations only.
 
-Each source is cut into blocks. Weights become whole numbers of blocks per cycle. Inside a
-cycle of m slots the i-th of a source's k blocks (from 0) is released at floor(i m / k) and
-due at ceil((i + 1) m / k); each slot takes, among released blocks, the one due first. So a
-source is never a whole block away from its share, and every cycle starts even. Sources
-that run out give what they have in their last cycle and the others go on. Only a cycle
-whose counts differ from the one before needs a schedule of its own, so there are at most
-two for each source, however many blocks there are.
+Each source is cut into blocks; a slot takes one. A fluid mix would serve all sources at
+once, by their exact weights, and when one ends the others share its part. Block i of a
+source is released when the fluid begins it and due when the fluid is through with it, both
+in whole slots; each slot takes, among released blocks, the one due first. These windows
+can always be met, so over the whole run a source is never a whole block away from the
+fluid. One pass over the slots keeps only where every source stands at each ``cycle``-th
+slot; from there the cycles are scheduled side by side.
 """
 
 from __future__ import annotations
@@ -16,12 +16,17 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegate.storage import materialise
+
+from .common import join_checked
 from .sharding import HASH_BITS, hash_bits
 
 BLOCK_ROWS = 64
 CYCLE = 1000
-#: Schedules and weights go to every task, so sources are bounded.
+#: A slot looks at every source, so sources are bounded.
 MAX_SOURCES = 2048
+#: Slots by which fluid times may be off.
+_ROUNDING = 1e-6
 _BUCKET_BITS = 12
 
 
@@ -30,56 +35,78 @@ def _bind(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _schedule(k: Column, m: Column) -> Column:
-    """Earliest deadline first over ``m`` slots for the counts ``k``: array of (source, i)."""
+def _entry(everything: Column, s: Column, i: Column) -> Column:
+    """Source ``s`` of ``everything`` with ``i`` blocks taken: the window of its next block."""
+    def slots(i: Column) -> Column:
+        """Slots until the fluid has served ``i`` blocks of the source."""
+        return _bind(i / F.get(everything, s)["weight"], lambda v: F.aggregate(
+            everything, F.lit(0.0), lambda t, x: t + F.least(x["blocks"].cast("double"), x["weight"] * v)))
+
+    return F.struct(s.cast("int").alias("s"), i.cast("long").alias("i"), F.get(everything, s)["blocks"].alias("blocks"),
+                    F.floor(slots(i) + _ROUNDING).cast("long").alias("released"),
+                    F.ceil(slots(i + 1) - _ROUNDING).cast("long").alias("due"))
+
+
+def _next(state: Column, slot: Column) -> Column:
+    """The source whose next block is due first among the released ones."""
+    return F.array_min(F.transform(state, lambda x: F.when(x["i"] < x["blocks"], F.struct(
+        (x["released"] > slot).alias("early"), x["due"].alias("due"), x["s"].alias("s")))))["s"]
+
+
+def _take(everything: Column, state: Column, chosen: Column) -> Column:
+    return F.transform(state, lambda x: F.when(x["s"] == chosen, _entry(everything, x["s"], x["i"] + 1)).otherwise(x))
+
+
+def _cycle(everything: Column, taken: Column, first: Column, last: Column) -> Column:
+    """Blocks of the slots ``first`` to ``last``: array of (source, i)."""
     def step(state: Column, slot: Column) -> Column:
-        taken = state["taken"]
-        released = F.transform(k, lambda want, s: F.when(
-            (taken[s] < want) & (F.floor(taken[s] * m / want) <= slot),
-            F.struct(F.ceil((taken[s] + 1) * m / want).alias("due"), s.alias("s"))))
-        return _bind(F.array_min(released), lambda c: F.struct(
-            F.transform(taken, lambda n, s: F.when(s == c["s"], n + 1).otherwise(n)).alias("taken"),
-            F.concat(state["done"], F.array(F.struct(c["s"].alias("s"), F.get(taken, c["s"]).alias("i")))).alias("done")))
-
-    start = F.struct(F.transform(k, lambda _: F.lit(0).cast("long")).alias("taken"),
+        return _bind(_next(state["at"], slot), lambda c: F.struct(
+            _take(everything, state["at"], c).alias("at"),
+            F.concat(state["done"], F.array(F.struct(c.alias("s"), F.get(state["at"], c)["i"].alias("i")))).alias("done")))
+
+    start = F.struct(F.transform(taken, lambda i, s: _entry(everything, s, i)).alias("at"),
                      F.expr("cast(array() as array<struct<s:int,i:bigint>>)").alias("done"))
-    return F.aggregate(F.sequence(F.lit(0).cast("long"), m - 1), start, step, lambda state: state["done"])
+    return F.aggregate(F.sequence(first, last), start, step, lambda state: state["done"])
+
+
+def _cycle_starts(everything: Column, total: Column, cycle: int) -> Column:
+    """For each cycle the blocks that were taken of every source before it."""
+    def run(state: Column, number: Column) -> Column:
+        slots = F.sequence(number * cycle, F.least((number + 1) * cycle, total) - 1)
+        return F.struct(
+            F.aggregate(slots, state["at"], lambda at, slot: _bind(_next(at, slot), lambda c: _take(everything, at, c))).alias("at"),
+            F.concat(state["starts"], F.array(F.transform(state["at"], lambda x: x["i"]))).alias("starts"))
+
+    start = F.struct(F.transform(everything, lambda _, s: _entry(everything, s, F.lit(0))).alias("at"),
+                     F.expr("cast(array() as array<array<bigint>>)").alias("starts"))
+    numbers = F.sequence(F.lit(0).cast("long"), F.floor((total - 1) / cycle))
+    return F.aggregate(numbers, start, run, lambda state: state["starts"])
 
 
-def plan_mix(sizes: DataFrame, weights: Mapping[str, float] | None, alpha: float, block_rows: int, cycle: int) -> tuple[DataFrame, DataFrame]:
-    """From ``sizes(source, rows)``: sources ``(source, per_cycle, starts)`` and slots ``(source, start, i, slot, slots, shift)``.
+def plan_mix(sizes: DataFrame, weights: Mapping[str, float] | None, alpha: float, block_rows: int, cycle: int) -> DataFrame:
+    """From ``sizes(source, rows)``: ``source, mix_block, mix_position`` of every block.
 
-    ``starts`` are the cycles from which a new schedule holds; ``shift`` is the position at
-    which the first of them begins. Sources without a given weight get none beyond one
-    block a cycle. Both tables are bounded by ``MAX_SOURCES`` and ``cycle``.
+    Sources without a given weight weigh one block a cycle.
     """
     if weights is None:
         weight = F.pow(F.col("rows").cast("double"), F.lit(alpha))
     else:
         given = [x for s, w in weights.items() for x in (F.lit(s), F.lit(float(w)))]
         weight = F.coalesce(F.create_map(*given)[F.col("source")], F.lit(0.0)) if given else F.lit(0.0)
-    everything = Window.partitionBy()
-    share = F.try_divide(F.col("weight"), F.sum("weight").over(everything))
-    planned = (sizes.withColumn("weight", weight)
-               .withColumn("per_cycle", F.greatest(F.lit(1), F.round(F.coalesce(share, F.lit(0.0)) * cycle)).cast("long"))
-               .withColumn("blocks", F.ceil(F.col("rows") / block_rows)))
-    whole = planned.agg(F.array_sort(F.collect_list(F.struct("source", "per_cycle", "blocks"))).alias("all"))
+    planned = sizes.select("source", F.greatest(weight, F.lit(0.0)).alias("weight"), F.ceil(F.col("rows") / block_rows).cast("long").alias("blocks"))
+    whole = planned.agg(F.array_sort(F.collect_list(F.struct("source", "weight", "blocks"))).alias("all")).where(F.size("all") > 0)
     whole = whole.where(F.when(F.size("all") > MAX_SOURCES, F.raise_error(F.lit(f"more than {MAX_SOURCES} sources"))).otherwise(F.lit(True)))
-    ends = F.flatten(F.transform("all", lambda s: F.array(
-        F.floor(s["blocks"] / s["per_cycle"]), F.ceil(s["blocks"] / s["per_cycle"]))))
-    cuts = whole.select("all", F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0).cast("long")), ends))).alias("starts"))
-    pieces = (cuts.select("all", "starts", F.posexplode("starts").alias("number", "start"))
-              .withColumn("until", F.get("starts", F.col("number") + 1)).where("until is not null")
-              .withColumn("k", F.transform("all", lambda s: F.greatest(F.lit(0), F.least(
-                  s["per_cycle"], s["blocks"] - F.col("start") * s["per_cycle"]))))
-              .withColumn("slots", F.aggregate("k", F.lit(0).cast("long"), lambda a, b: a + b)))
-    before = Window.partitionBy().orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    slots = (pieces.withColumn("shift", F.coalesce(F.sum(F.col("slots") * (F.col("until") - F.col("start"))).over(before), F.lit(0)))
-             .repartition(8, "start")
-             .select("all", "start", "slots", "shift", F.posexplode(_schedule(F.col("k"), F.col("slots"))).alias("slot", "turn"))
-             .select(F.get("all", F.col("turn.s"))["source"].alias("source"), "start", F.col("turn.i").alias("i"), "slot", "slots", "shift"))
-    sources = cuts.select("starts", F.explode("all").alias("s")).select("s.source", "s.per_cycle", "starts")
-    return sources, slots
+    given = F.aggregate("all", F.lit(0.0), lambda a, x: a + x["weight"])
+    least = F.when(given > 0, given / cycle).otherwise(F.lit(1.0))
+    whole = whole.withColumn("least", least).withColumn("all", F.transform("all", lambda x: x.withField(
+        "weight", F.when(x["weight"] > 0, x["weight"]).otherwise(F.col("least")))))
+    whole = whole.withColumn("total", F.aggregate("all", F.lit(0).cast("long"), lambda n, x: n + x["blocks"]))
+    cycles = (whole.select("all", "total", F.posexplode(_cycle_starts(F.col("all"), F.col("total"), cycle)).alias("number", "taken"))
+              .withColumn("first", F.col("number").cast("long") * cycle)
+              .withColumn("last", F.least(F.col("first") + cycle, F.col("total")) - 1).repartition("number"))
+    slots = cycles.select("all", "first", F.posexplode(_cycle(F.col("all"), F.col("taken"), F.col("first"), F.col("last"))).alias("slot", "turn"))
+    return slots.select(F.get("all", F.col("turn.s"))["source"].alias("source"), F.col("turn.i").alias("mix_block"),
+                        (F.col("first") + F.col("slot")).alias("mix_position"))
 
 
 def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, alpha: float = 0.5,
@@ -88,7 +115,8 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, alp
 
     ``mix_position`` numbers blocks in mixed order from 0, ``mix_block`` those of the row's
     source, ``mix_place`` rows in a block. Without ``weights`` a source weighs its row count
-    to the power ``alpha``. Rows of a source are ordered by a hash of their key; equal keys
+    to the power ``alpha``. ``cycle`` only sets how many slots a task schedules, and the weight
+    of sources that have none given. Rows of a source are ordered by a hash of their key; equal keys
     keep an arbitrary order among themselves. A null source is a source of its own. Columns
     with the three names are replaced.
     """
@@ -100,19 +128,12 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, alp
     shifts = counts.select("_source", "_bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_shift"))
     sizes = counts.groupBy(F.col("_source").alias("source")).agg(F.sum("n").alias("rows"))
     weights = None if weights is None else {f"={s}": w for s, w in weights.items()}
-    sources, slots = plan_mix(sizes, weights, alpha, block_rows, cycle)
-    sources = sources.withColumnRenamed("source", "_source")
-    slots = slots.select(F.col("source").alias("_source"), F.col("start").alias("_start"), F.col("i").alias("_i"),
-                         F.col("slot").alias("_slot"), F.col("slots").alias("_slots"), F.col("shift").alias("_base"))
+    slots = materialise(plan_mix(sizes, weights, alpha, block_rows, cycle).withColumnRenamed("source", "_source"), "mix-slots")
     number = F.row_number().over(Window.partitionBy("_source", "_bucket").orderBy("_h", key)) - 1
     placed = (named.withColumn("_number", number)
-              .join(shifts, ["_source", "_bucket"]).join(F.broadcast(sources), "_source")
+              .join(shifts, ["_source", "_bucket"])
               .withColumn("_number", F.col("_number") + F.col("_shift"))
               .withColumn("mix_block", F.floor(F.col("_number") / block_rows))
-              .withColumn("_round", F.floor(F.col("mix_block") / F.col("per_cycle")))
-              .withColumn("_start", F.expr("array_max(filter(starts, s -> s <= _round))"))
-              .withColumn("_i", F.expr("mix_block % per_cycle"))
-              .join(F.broadcast(slots), ["_source", "_start", "_i"])
-              .withColumn("mix_position", F.expr("_base + (_round - _start) * _slots + _slot"))
               .withColumn("mix_place", (F.col("_number") % block_rows).cast("int")))
+    placed = join_checked(placed, slots, ["_source", "mix_block"], "inner")
     return placed.select(*[F.col(f"`{c}`") for c in kept.columns], "mix_block", "mix_position", "mix_place")
