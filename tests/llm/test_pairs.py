@@ -168,6 +168,18 @@ def test_top_k_equals_brute_force(spark, slice_bytes):
     assert got == brute_top(rows, {i for i, _ in rows if i is not None and i % 10 == 0}, 7)
 
 
+def test_top_k_scores_large_components(spark):
+    r = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in np.round(r.standard_normal(6), 1)]) for i in range(120)]
+    rows += [(200, [1e6, 1.0, -2.0, 0.5, 0.0, 3.0]), (210, [-7e4] * 6), (220, [1e6, 1e6, 0.0, 0.0, 0.0, 1.0]), (230, [65_536.0] + [0.0] * 5)]
+    df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], VECTORS).repartition(3)
+    got = [tuple(x) for x in top_k(df, df.where("vec_id % 10 = 0"), 7).orderBy("query_id", "rank").collect()]
+    assert got == brute_top(rows, {i for i, _ in rows if i % 10 == 0}, 7)
+    assert topk.products(np.array([[2.0 ** 80, 3.0]]), np.array([[0.0, 5.0]])).tolist() == [[15]]
+    with pytest.raises(OverflowError):
+        topk.products(np.array([[2.0 ** 40]]), np.array([[2.0 ** 23]]))
+
+
 def test_top_k_stops_early():
     r = np.random.default_rng(3)
     rows = np.floor(np.concatenate([r.standard_normal((50, 8)) * 2000, r.standard_normal((4000, 8)) * 3]))

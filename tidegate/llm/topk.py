@@ -6,7 +6,8 @@ hence (|q|^2 + |c|^2 - bound^2) / 2 an upper bound of their inner product. Candi
 batch are scored in the order of their bounds until the next bound falls below the k-th
 best score so far, which every task keeps from batch to batch and which starts from the
 scores of the sample that the pivots come from. Candidates stay where they are; queries
-are sent to them in slices of bounded size.
+are sent to them in slices of bounded size. Pairs with a component too large for exact
+bounds are all scored, in whole numbers of any size.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ K = 10
 #: The pivots are chosen from that many rows of each vector length.
 SAMPLE_ROWS = 1024
 PIVOTS = 12
-#: Vectors with a larger scaled component take no part: their products leave 64 bits.
-LARGEST = 1 << 26
+#: Bounds are taken only of vectors whose squared distances are whole numbers below that.
+LARGEST = 1 << 53
 MAX_LENGTHS = 64
 _CHUNK = 256
 _TILE = 1 << 21  # query-candidate bounds held at once
@@ -37,9 +38,14 @@ _LOWEST = np.iinfo(np.int64).min
 
 
 def usable(embedding: str = "embedding") -> Column:
-    """Not null or empty, every component given, finite and in range."""
+    """Not null or empty, every component given and finite."""
     return F.coalesce((F.size(embedding) > 0) & F.forall(embedding, lambda x: F.coalesce(
-        ~F.isnan(x) & (F.abs(x.cast("double")) * SCALE < LARGEST), F.lit(False))), F.lit(False))
+        ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")), F.lit(False))), F.lit(False))
+
+
+def is_small(rows: np.ndarray) -> np.ndarray:
+    """Of each row of whole numbers, whether exact bounds can be taken of it."""
+    return 4 * rows.shape[1] * np.abs(rows).max(1, initial=0) ** 2 < LARGEST
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -49,11 +55,26 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole numbers; in doubles where these are exact."""
-    top = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[-1]
+    """Exact inner products of whole numbers; in doubles or longs where these are exact.
+
+    Raises ``OverflowError`` if a product itself leaves 64 bits.
+    """
+    tops = np.abs(a).max(1, initial=0) * float(np.abs(b).max(initial=0)) * a.shape[-1]
+    top = tops.max(initial=0)
     if top < 2 ** 53:
         return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    return a.astype(np.int64) @ b.T.astype(np.int64)
+    if top < 2 ** 62 and np.abs(a).max(initial=0) < 2 ** 62 and np.abs(b).max(initial=0) < 2 ** 62:
+        return a.astype(np.int64) @ b.T.astype(np.int64)
+    out = np.empty((len(a), len(b)), np.int64)
+    right = [[int(x) for x in row] for row in b.tolist()]
+    for i, row in enumerate(a.tolist()):
+        left = [int(x) for x in row]
+        for j, other in enumerate(right):
+            score = sum(x * y for x, y in zip(left, other, strict=True))
+            if not -2 ** 63 <= score < 2 ** 63:
+                raise OverflowError(f"an inner product of {score} leaves 64 bits")
+            out[i, j] = score
+    return out
 
 
 def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
@@ -114,6 +135,17 @@ def _search(ids: np.ndarray, rows: np.ndarray, queries: tuple, best: Best, floor
                     best.add(query, scores[good], ids[chunk[good]])
 
 
+def _score_all(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, q_rows: np.ndarray, best: Best, first: int) -> None:
+    """Score every pair of a batch with the queries that ``best`` has from ``first`` on."""
+    for at in range(0, len(rows), _CHUNK):
+        part = slice(at, at + _CHUNK)
+        for i, query in enumerate(q_rows):
+            scores = products(rows[part], query[None])[:, 0]
+            good = (ids[part] != query_ids[i]) & (scores >= best.floor(first + i))
+            if good.any():
+                best.add(first + i, scores[good], ids[part][good])
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE, slice_bytes: int = BROADCAST_BYTES // 2) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` largest inner products of each query.
 
@@ -121,7 +153,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE
     query's own id are no candidates. Rows that are not ``usable`` or have no id take no
     part; vectors meet only vectors of their own length. Query rows that repeat an id count
     once (the smallest vector), candidate rows that repeat one count each. No query or no
-    candidate gives no row.
+    candidate gives no row. A score beyond 64 bits is an error.
     """
     def clean(df: DataFrame) -> DataFrame:
         return df.where(usable() & F.col("vec_id").isNotNull()).select(
@@ -135,12 +167,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE
         raise ValueError(f"more than {MAX_LENGTHS} vector lengths")
     for length in lengths:
         own, mine = (df.where(F.size("embedding") == length) for df in (candidates, asked))
-        sample = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()
+        largest = math.sqrt(LARGEST / (4 * length)) / scale
+        bounded = own.where(F.forall("embedding", lambda x: F.abs(x) < largest - 1))
+        sample = bounded.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()
         sample_ids = np.array([r.vec_id for r in sample], np.int64)
         sample_rows = np.floor(np.array([r.embedding for r in sample]).reshape(len(sample), length) * scale)
-        if not len(sample):
-            continue
-        pivots = choose_pivots(sample_rows, PIVOTS)
+        pivots = choose_pivots(sample_rows, PIVOTS) if len(sample) else np.zeros((1, length))
         slices = max(1, math.ceil(mine.count() * 8 * (length + PIVOTS) / slice_bytes))
         for number in range(slices):
             rows = mine.where(F.pmod(F.xxhash64("vec_id"), F.lit(slices)) == number).collect()
@@ -148,23 +180,30 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE
                 continue
             query_ids = np.array([r.vec_id for r in rows], np.int64)
             q_rows = np.floor(np.array([r.embedding for r in rows]) * scale)
-            seeds = Best(len(rows), k)
-            for i in range(len(rows)):
+            small_first = np.argsort(~is_small(q_rows), kind="stable")
+            query_ids, q_rows = query_ids[small_first], q_rows[small_first]
+            small = int(is_small(q_rows).sum())
+            seeds = Best(small, k)
+            for i in range(small):
                 other = sample_ids != query_ids[i]
                 seeds.add(i, products(sample_rows[other], q_rows[i][None])[:, 0], sample_ids[other])
-            floors = np.array([seeds.floor(i) for i in range(len(rows))])
-            shared = vectors.sparkSession.sparkContext.broadcast((query_ids, q_rows, pivot_table(q_rows, pivots), pivots, floors))
+            floors = np.array([seeds.floor(i) for i in range(small)], np.int64)
+            shared = vectors.sparkSession.sparkContext.broadcast(
+                (query_ids, q_rows, small, pivot_table(q_rows[:small], pivots), pivots, floors))
 
             def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-                *asked, floors = shared.value
-                best = Best(len(asked[0]), k)
+                query_ids, q_rows, small, q_table, pivots, floors = shared.value
+                best = Best(len(query_ids), k)
                 for batch in batches:
                     for at in range(0, batch.num_rows, 4096):
                         piece = batch.slice(at, 4096)
-                        _search(piece.column("vec_id").to_numpy(), np.floor(matrix(piece.column("embedding")) * scale),
-                                tuple(asked), best, floors)
+                        ids, rows = piece.column("vec_id").to_numpy(), np.floor(matrix(piece.column("embedding")) * scale)
+                        fine = is_small(rows)
+                        _search(ids[fine], rows[fine], (query_ids[:small], q_rows[:small], q_table, pivots), best, floors)
+                        _score_all(ids[~fine], rows[~fine], query_ids[:small], q_rows[:small], best, 0)
+                        _score_all(ids, rows, query_ids[small:], q_rows[small:], best, small)
                 yield pa.RecordBatch.from_pydict({
-                    "query_id": np.repeat(asked[0], [len(s) for s, _ in best.rows]),
+                    "query_id": np.repeat(query_ids, [len(s) for s, _ in best.rows]),
                     "vec_id": np.concatenate([i for _, i in best.rows]), "score": np.concatenate([s for s, _ in best.rows])})
 
             part = own.mapInArrow(scan, "query_id long, vec_id long, score long")
