@@ -39,6 +39,22 @@ def test_small_batches_and_long_texts(make_docs, monkeypatch):
     assert result(remove_repeats(make_docs(rows).repartition(2), slices=3)) == brute.repeats(rows, 50)
 
 
+def test_one_line_in_thousands_of_texts(make_docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_WINDOWS", 2000)
+    sort = suffix_dedup.deep_shallow
+
+    def bounded(strings):
+        if len(strings) > 6000:
+            raise MemoryError(f"{len(strings)} windows at once")
+        return sort(strings)
+
+    monkeypatch.setattr(suffix_dedup, "deep_shallow", bounded)
+    r, line = random.Random(7), prose(77, 12)[:58]
+    text = lambda: "".join(r.choice("abcdefghij ") for _ in range(45))
+    rows = [(i, text() + line + text() + ("-" * 60 + text() if i % 3 == 0 else "")) for i in range(2000)]
+    assert result(remove_repeats(make_docs(rows).repartition(3), slices=4)) == brute.repeats(rows, 50)
+
+
 def test_odd_and_empty(odd_docs):
     rows = [(x.doc_id, x.text) for x in odd_docs.collect() if x.doc_id != 7]
     assert result(remove_repeats(odd_docs.where("doc_id is null or doc_id <> 7"))) == brute.repeats(rows, 50)

@@ -11,6 +11,9 @@ meet in two steps:
    eight-byte words down to ``SHALLOW`` bytes, then blind tries for the groups that still
    agree. Windows that are equal to the end stand together; the smallest document keeps.
 
+Where the runs of one gram have more than ``HOT_WINDOWS`` windows, these are dealt singly by
+a hash of their bytes, and of equal ones in a batch only those of the smallest document go.
+
 Equal texts are one unit throughout, so a group of copies is exchanged once for each task.
 """
 
@@ -36,6 +39,10 @@ SHALLOW = 24
 #: Windows of one run; a longer run, as in periodic text, goes on as a new one.
 RUN = 64
 BATCH_RUNS = 200_000
+#: Windows of one gram that are sorted in one group; so many are also looked at at once.
+HOT_WINDOWS = 200_000
+#: Added to the size of an open run whose gram has more.
+_HOT = 128
 _PIECE = 1 << 19
 _NONE = (1 << 63) - 1
 _TYPES = {"gram": np.uint32, "run": np.uint64, "unit": np.uint16, "start": np.uint32, "count": np.uint8}
@@ -151,20 +158,21 @@ def _per_group(new: np.ndarray, values: np.ndarray, reduce: np.ufunc) -> np.ndar
 
 
 def _whole_runs(table: pa.Table) -> pa.Table:
-    """Step 1 on one slice. Entries come back with ``run`` 0 where covered, 1 where windows must be looked at."""
+    """Step 1 on one slice. Entries come back with ``run`` 0 where covered, 1 where windows must be looked at, 2 where their gram has too many."""
     if table.column("slice")[0].as_py() < 0:
         return table
     unit = _unpack(table, "unit")
     row, doc = _owners(table, unit)
     gram, run, start, count = (_unpack(table, c) for c in ("gram", "run", "start", "count"))
     order = np.lexsort((doc, run, gram))
-    gram, run, doc = gram[order], run[order], doc[order]
+    gram, run, doc, windows = gram[order], run[order], doc[order], count[order].astype(np.int64)
     of_gram, of_run = _heads(gram), _heads(gram, run)
     covered = doc > _per_group(of_run, doc, np.minimum)
     several = _per_group(of_gram, of_run.astype(np.int64), np.add) > 1
     apart = _per_group(of_gram, doc, np.minimum) != _per_group(of_gram, doc, np.maximum)
     back = covered | (several & apart)
-    where, open_run = order[back], (~covered[back]).astype(np.uint64)
+    hot = _per_group(of_gram, np.where(back & ~covered, windows, 0), np.add) > HOT_WINDOWS
+    where, open_run = order[back], np.where(covered, 0, 1 + hot)[back].astype(np.uint64)
     by_row = np.argsort(row[where], kind="stable")
     where, open_run = where[by_row], open_run[by_row]
     return _answer(table, row[where], {"unit": unit[where], "start": start[where], "count": count[where], "run": open_run})
@@ -235,7 +243,7 @@ def _windows(table: pa.Table, length: int) -> pa.Table:
     view = np.lib.stride_tricks.sliding_window_view(data, length) if len(data) >= length else np.zeros((0, length), np.uint8)
     at = 0
     while at < len(by_gram):
-        later = cuts[np.searchsorted(cuts, at + 200_000):]
+        later = cuts[np.searchsorted(cuts, at + HOT_WINDOWS):]
         end = int(later[0]) if len(later) else len(by_gram)
         mine = by_gram[at:end]
         order, new = deep_shallow(view[place[mine]])
@@ -263,8 +271,7 @@ _SPANS = "name string, doc_id long, starts binary, ends binary, edges binary, si
 def _by_unit(table: pa.Table) -> pa.Table:
     """The answers of one batch put together by unit: covered windows merged, open runs listed."""
     units = [u for x in table.column("units").to_pylist() for u in x or ()]
-    back = table.filter(pa.array(table.column("slice").to_numpy() >= 0))
-    unit, start, count, run = (_unpack(back, c).astype(np.int64) for c in ("unit", "start", "count", "run"))
+    unit, start, count, run = (_unpack(table, c).astype(np.int64) for c in ("unit", "start", "count", "run"))
     order = np.lexsort((start, unit))
     unit, start, count, run = unit[order], start[order], count[order], run[order]
     names, firsts = np.unique(unit, return_index=True)
@@ -273,7 +280,8 @@ def _by_unit(table: pa.Table) -> pa.Table:
         part, covered = slice(a, b), run[a:b] == 0
         starts, ends = _merge(start[part][covered], (start[part] + count[part])[covered])
         for name, value in zip(out, (units[number]["name"], units[number]["doc_id"], starts.astype(np.uint32).tobytes(), ends.astype(np.uint32).tobytes(),
-                                     start[part][~covered].astype(np.uint32).tobytes(), count[part][~covered].astype(np.uint8).tobytes()), strict=True):
+                                     start[part][~covered].astype(np.uint32).tobytes(),
+                                     (count + _HOT * (run == 2))[part][~covered].astype(np.uint8).tobytes()), strict=True):
             out[name].append(value)
     types = [pa.string(), pa.int64(), *[pa.binary()] * 4]
     return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), types, strict=True)})
@@ -308,28 +316,70 @@ def _send(slices: int, length: int):
     return send
 
 
+def _hot_windows(texts: list[bytes], doc: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Single windows of runs: hash, run, offset in it, bytes, and whether a smaller document here has the same."""
+    data, own, begin = _joined(texts)
+    place = np.flatnonzero(own[:len(data) - length + 1] == own[length - 1:])
+    hashes = span_hash(prefix_hash(data), place, place + length)
+    place = place[np.argsort(hashes, kind="stable")]
+    hashes = np.sort(hashes)
+    view, covered = np.lib.stride_tricks.sliding_window_view(data, length), np.zeros(len(place), bool)
+    cuts, at = np.flatnonzero(_heads(hashes)), 0
+    while at < len(place):
+        later = cuts[np.searchsorted(cuts, at + HOT_WINDOWS):]
+        end = int(later[0]) if len(later) else len(place)
+        order, new = deep_shallow(view[place[at:end]])
+        owners = doc[own[place[at:end]]][order]
+        covered[at + order] = owners > _per_group(new, owners, np.minimum)
+        at = end
+    run = own[place]
+    return hashes, run, place - begin[run], [data[p:p + length].tobytes() for p in place[~covered].tolist()], covered
+
+
+def _covered_here(batch: str, slices: int, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """A row (slice below 0) with windows of a batch that need not be sent."""
+    data = {**columns, "count": np.ones(len(columns["unit"])), "run": np.zeros(len(columns["unit"]))}
+    arrays = {name: pa.array([data[name].astype(_TYPES[name]).tobytes() if name in data else None], pa.binary())
+              for name in ("gram", "run", "unit", "start", "count", "bytes", "ids")}
+    return pa.RecordBatch.from_pydict({"slice": pa.array([-1 - hash_of(batch) % slices], pa.int32()), "batch": pa.array([batch]),
+                                       **arrays, "units": pa.array([None], _UNITS)})
+
+
 def _send_edges(slices: int, length: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
         for piece in pieces(batches, 4 * _PIECE):
             texts, units, seen = [], [], set()
-            columns: dict[str, list] = {"unit": [], "start": [], "count": []}
+            columns: dict[str, list] = {"unit": [], "start": [], "count": [], "many": []}
             for text, doc_id, name, edges, sizes in zip(utf8(piece.column("text")), *(piece.column(c).to_pylist() for c in ("doc_id", "name", "edges", "sizes")), strict=True):
                 if (name, doc_id) in seen or len(units) > 65_000:
                     continue
                 seen.add((name, doc_id))
                 starts, counts = np.frombuffer(edges, np.uint32), np.frombuffer(sizes, np.uint8)
+                many, counts = counts >= _HOT, counts % _HOT
                 texts += [text[s:s + c + length - 1] for s, c in zip(starts.tolist(), counts.tolist(), strict=True)]
-                for key, value in (("unit", np.full(len(starts), len(units))), ("start", starts), ("count", counts)):
+                for key, value in (("unit", np.full(len(starts), len(units))), ("start", starts), ("count", counts), ("many", many)):
                     columns[key].append(value)
                 units.append((doc_id, name))
             if texts:
-                prefix = prefix_hash(np.frombuffer(b"".join(texts), np.uint8))
-                sizes = np.array([len(t) for t in texts])
-                begin = np.cumsum(sizes) - sizes
-                # the gram of a run is the smallest of any of its windows, say the first
-                grams = [span_hash(prefix, begin + i, begin + i + GRAM) for i in range(length - GRAM + 1)]
-                yield _pack(f"{part}-{number}", slices, np.minimum.reduce(grams), {k: np.concatenate(v) for k, v in columns.items()}, units, texts)
+                unit, start, count, many = (np.concatenate(columns[c]) for c in ("unit", "start", "count", "many"))
+                grams, sent = np.zeros(0, np.uint64), [t for t, m in zip(texts, many.tolist(), strict=True) if not m]
+                if sent:
+                    prefix = prefix_hash(np.frombuffer(b"".join(sent), np.uint8))
+                    sizes = np.array([len(t) for t in sent])
+                    begin = np.cumsum(sizes) - sizes
+                    # the gram of a run is the smallest of any of its windows, say the first
+                    grams = np.minimum.reduce([span_hash(prefix, begin + i, begin + i + GRAM) for i in range(length - GRAM + 1)])
+                out = {"unit": unit[~many], "start": start[~many].astype(np.int64), "count": count[~many]}
+                if many.any():
+                    doc = np.array([d for d, _ in units], np.int64)[unit[many]]
+                    hashes, run, offset, windows, covered = _hot_windows([t for t, m in zip(texts, many.tolist(), strict=True) if m], doc, length)
+                    single = {"unit": unit[many][run], "start": start[many][run].astype(np.int64) + offset, "count": np.ones(len(run), np.uint8)}
+                    grams, sent = np.concatenate([grams, hashes[~covered]]), sent + windows
+                    out = {k: np.concatenate([v, single[k][~covered]]) for k, v in out.items()}
+                    if covered.any():
+                        yield _covered_here(f"{part}-{number}", slices, {k: single[k][covered] for k in ("unit", "start")})
+                yield _pack(f"{part}-{number}", slices, grams, out, units, sent)
                 number += 1
 
     return send
