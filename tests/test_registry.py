@@ -55,3 +55,18 @@ def test_library_avoids_what_does_not_scale():
             found = banned.findall(path.read_text())
             # the query slices of both searches, bounded by bytes
             assert found == {"dense.py": ["toPandas"], "retrieval.py": ["toArrow"]}.get(path.name, []), path
+
+
+def test_registry_without_the_subpackage(tmp_path):
+    """A copy without ``tidegate/llm``, ``tests/llm`` and the pipeline still registers the other queries."""
+    import shutil
+    import subprocess
+    import sys
+
+    root = Path(entry_module.__file__).parent
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "llm", "corpus_pipeline.py"))
+    probe = "import __spark_entry__ as e; print(len(e.queries()), sorted(e.queries()) == sorted(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", probe], cwd=copy, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr
+    assert done.stdout.split() == [str(len(own_queries.QUERIES)), "True"]
