@@ -40,6 +40,26 @@ def test_one_key_with_a_third_of_all_rows_fills_pages(make_docs):
     assert len({x.page for x in got if x.doc_id == 7}) == 30
 
 
+def test_repeated_ids_lose_no_row_when_the_directory_is_shuffled(spark, make_docs):
+    """60,000 rows, 40 ids repeated among unique ones; no broadcast and small coalesced parts, as at scale."""
+    rows = [(i, "v" * (i % 90)) for i in range(40, 40_000)] + [(i % 40, "w" * (10 + i % 7)) for i in range(20_040)]
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold",
+                                              "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    try:
+        got = shard(make_docs(rows).repartition(7), 2000).collect()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert Counter(x.doc_id for x in got) == Counter(i for i, _ in rows)
+    held = defaultdict(list)
+    for x in got:
+        held[x.depth, x.prefix, x.page].append(x.n_bytes)
+    assert all(sum(v) <= 2000 for v in held.values())
+
+
 def test_shard_odd_and_empty(odd_docs):
     got = shard(odd_docs, 64).collect()
     assert len(got) == odd_docs.count() and sum(x.n_bytes == 0 for x in got) == 2

@@ -45,11 +45,14 @@ def _directory(cells: DataFrame, low: int, high: int, limit: int) -> DataFrame:
 def _pages(rows: DataFrame, limit: int) -> DataFrame:
     """Rows of buckets with one hash value, dealt to pages that fit the limit.
 
-    A page takes as many rows as the largest row of the bucket allows, at least one. Rows
-    are numbered inside the parts of the written table and shifted by the parts before, so
-    that a hash value holding most rows is never in one task.
+    A page takes as many rows as the largest row of the bucket allows, at least one. The rows
+    are first dealt round-robin and written with the number of their part, so that a hash
+    value holding most rows is never in one task and every later step reads the same parts;
+    rows are numbered inside a part and shifted by the rows of the parts before.
     """
-    dealt = rows.withColumn("part", F.spark_partition_id())
+    spark = rows.sparkSession
+    dealt = materialise(rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+                        .withColumn("part", F.spark_partition_id()), "shard-stuck")
     parts = dealt.groupBy("h", "part").agg(F.count("*").alias("n"), F.max("n_bytes").alias("most"))
     per_hash = Window.partitionBy("h")
     before = per_hash.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
