@@ -15,6 +15,7 @@ from .jaccard import similar_documents
 from .language import fit_language, predict_language
 from .licenses import scan_licenses
 from .mixing import mix_sources
+from .prefix_trie import prefix_trie
 from .quality import THRESHOLD, fit_quality, score_quality
 from .sharding import HASH_BITS, shard
 from .suffix_dedup import remove_repeats
@@ -93,6 +94,46 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "mix_block", "mix_position", "mix_place")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned crc32 of an ASCII text, bit by bit, for DuckDB (which has none)."""
+    step = "lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END"
+    byte = "lambda c, b: list_reduce(list_prepend(xor(c, b), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]), " + step + ")"
+    codes = f"list_transform(range(strlen({text})), lambda i: ascii(({text})[i + 1])::UBIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {codes}), {byte}), 4294967295::UBIGINT)"
+
+
+PREFIX_TRIE_SQL = f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT conv_id, count(*) AS n_own FROM t GROUP BY ALL),
+i AS (SELECT l.conv_id, l.n_own, {crc32_sql("l.conv_id::VARCHAR")} % 4 AS h, coalesce(b.n_own, 0) AS n_base,
+  l.conv_id - l.conv_id % 20 AS base FROM l LEFT JOIN l AS b ON b.conv_id = l.conv_id - l.conv_id % 20),
+r AS (SELECT i.conv_id, t.pos, t.role, t.text FROM i JOIN t ON t.conv_id = i.base AND t.pos <= i.h
+  UNION ALL SELECT i.conv_id, t.pos - i.h + least(i.h, i.n_base), t.role, t.text FROM i JOIN t ON t.conv_id = i.conv_id AND t.pos > i.h),
+n AS (SELECT conv_id, least(h, n_base) + greatest(n_own - h, 0) AS n_turns FROM i),
+p AS (SELECT conv_id, pos AS depth, string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY conv_id ORDER BY pos) AS prefix,
+  len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM r
+  UNION ALL SELECT conv_id, 0, '', 0 FROM n),
+pn AS (SELECT p.*, min(conv_id) OVER (PARTITION BY prefix) AS node FROM p),
+nd AS (SELECT pn.node AS conv_id, pn.depth, count(*) AS n_convs, any_value(pn.words) AS words,
+  coalesce(sha256(string_agg(pn.conv_id::VARCHAR, ',' ORDER BY pn.conv_id) FILTER (WHERE pn.depth = n.n_turns)), sha256('')) AS ends_sha256
+  FROM pn JOIN n USING (conv_id) GROUP BY pn.node, pn.depth),
+par AS (SELECT nd.conv_id, nd.depth, q.node AS parent_conv_id FROM nd LEFT JOIN pn AS q ON q.conv_id = nd.conv_id AND q.depth = nd.depth - 1),
+ch AS (SELECT parent_conv_id, depth - 1 AS depth, count(*) AS n_children FROM par WHERE parent_conv_id IS NOT NULL GROUP BY ALL),
+f AS (SELECT nd.*, par.parent_conv_id, coalesce(ch.n_children, 0) AS n_children FROM nd JOIN par USING (conv_id, depth)
+  LEFT JOIN ch ON ch.parent_conv_id = nd.conv_id AND ch.depth = nd.depth),
+s AS (SELECT a.node AS conv_id, a.depth, sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+  sum((u.n_convs - 1) * u.words) AS saved_tokens FROM f AS u JOIN pn AS a ON a.conv_id = u.conv_id AND a.depth <= u.depth GROUP BY ALL)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, f.parent_conv_id, CAST(f.n_convs AS BIGINT) AS n_convs,
+  CAST(f.n_children AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+  f.ends_sha256 FROM f JOIN s USING (conv_id, depth)"""
+
+
 def _shards_sql(limit: int) -> str:
     return f"""
 WITH r AS (SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
@@ -119,10 +160,11 @@ FROM s QUALIFY rank <= 10"""
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses, "op2_language": op2_language, "op3_sharding": op3_sharding,
     "op4_topk": op4_topk, "op5_suffix_dedup": op5_suffix_dedup, "op6_quality": op6_quality, "op7_bpe": op7_bpe, "op8_jaccard": op8_jaccard, "op9_mixing": op9_mixing,
-    "op10_embedding_dedup": op10_embedding_dedup,
+    "op10_embedding_dedup": op10_embedding_dedup, "op11_prefix_trie": op11_prefix_trie,
     "shard_small": shard_small,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_sharding": _shards_sql(SHARD_BYTES), "op4_topk": TOP_K_SQL, "shard_small": _shards_sql(SMALL_SHARD_BYTES),
+    "op11_prefix_trie": PREFIX_TRIE_SQL,
 }
