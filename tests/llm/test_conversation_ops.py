@@ -63,3 +63,133 @@ def test_trie_of_long_texts_and_deep_chats(spark):
     rows = [(7, t, "user", ("word " * 50_000) if t == 0 else f"t{t}") for t in range(40)] + [(8, 0, "user", "word " * 50_000)]
     got = sorted(map(tuple, prefix_trie(conversations(spark, rows)).select(*COLUMNS).collect()), key=repr)
     assert got == by_sql(rows)
+
+
+# ---- structure repair ----------------------------------------------------------------------
+
+import heapq  # noqa: E402
+import random  # noqa: E402
+
+from tidegate.llm.repair import NEXT, damage, faults, repair_damaged, repair_one, search  # noqa: E402
+
+
+def cheapest_by_best_first(turns):
+    """Uniform-cost search over (cost, audit) without bounds or tables: the least pair wins."""
+    found = faults(turns)
+    n = len(turns)
+    heap = [(0, "", 0, 0)]
+    while heap:
+        g, audit, i, q = heapq.heappop(heap)
+        if i == n and q in (0, 3):
+            return g, audit
+        target = "u" if (q, "u") in NEXT else "a"
+        options = [("I", 5, i, NEXT[q, target])]
+        if i < n:
+            options.append(("D", 2, i + 1, q))
+            if found[i] not in ("blank", "duplicate"):
+                extra = 5 if found[i] == "truncated" else 0
+                if (q, turns[i][0][:1]) in NEXT:
+                    options.append(("K", extra, i + 1, NEXT[q, turns[i][0][:1]]))
+                options.append(("R", 1 + extra, i + 1, NEXT[q, target]))
+        for edit, cost, i2, q2 in options:
+            if g + cost <= 60:
+                heapq.heappush(heap, (g + cost, audit + edit, i2, q2))
+    raise AssertionError("no repair")
+
+
+def test_search_equals_best_first_on_random_chats():
+    rnd = random.Random(5)
+    roles, texts = ["user", "assistant", "system", "", " ", "tool"], ["Hi.", "ok", "", "  ", "Sure!", "why?", "x"]
+    for _ in range(400):
+        turns = [(rnd.choice(roles), rnd.choice(texts)) for _ in range(rnd.randrange(0, 7))]
+        cost, edits = search(turns, faults(turns))
+        assert (cost, "".join(e for e, _ in edits)) == cheapest_by_best_first(turns), turns
+
+
+def test_repair_counts_and_text():
+    got = repair_one([("user", "Hi."), ("user", "Hi."), ("assistant", "ok"), ("system", "x.")], [0, 1, 2, 5])
+    assert (got["gaps"], got["blank"], got["duplicate"], got["truncated"], got["illegal"]) == (2, 0, 1, 1, 2)
+    assert (got["cost"], got["audit"]) == (5, "KDDR")
+    import hashlib
+    assert got["repaired_sha256"] == hashlib.sha256(b"user:Hi.\nassistant:x.").hexdigest()
+    assert repair_one([], [])["repaired_sha256"] == hashlib.sha256(b"").hexdigest()
+    long = [("user" if i % 2 == 0 else "assistant", f"turn {i}.") for i in range(3000)]
+    assert repair_one(long, list(range(3000)))["cost"] == 0
+
+
+def test_repair_query_over_odd_rows(spark):
+    rows = ODD + [(9, t, "user", "same words.") for t in range(6)] + [(11, None, None, None)]
+    convs = conversations(spark, rows)
+    got = {r.conv_id: r for r in repair_damaged(convs).collect()}
+    assert set(got) == {r[0] for r in rows}
+    damaged = [tuple(r) for r in damage(convs).collect()]
+    for cid in got:
+        mine = [r for r in damaged if r[0] == cid]
+        mine.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+        want = repair_one([(r[2], r[3]) for r in mine], [r[1] for r in mine])
+        assert {k: getattr(got[cid], k) for k in want} == want, cid
+    assert repair_damaged(convs.limit(0)).count() == 0
+
+
+# ---- packing -------------------------------------------------------------------------------
+
+import zlib  # noqa: E402
+from collections import defaultdict  # noqa: E402
+
+import numpy as np  # noqa: E402
+import public_tokenizers  # noqa: E402
+from tokenizers import Tokenizer  # noqa: E402
+
+from tidegate.llm import packing  # noqa: E402
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def check_packed(rows, got, limits=(4096, 256, 4096)):
+    """Every id of every document in exactly one piece, pieces right, sequences within limits."""
+    tok = Tokenizer.from_file(WORD_BPE)
+    ids = {n: tok.encode(t or "", add_special_tokens=False).ids + [2] for n, (_, t) in enumerate(rows)}
+    by_doc = defaultdict(list)
+    for r in got:
+        by_doc[r.doc_id].append(r)
+    wanted = defaultdict(list)
+    for n, (d, _) in enumerate(rows):
+        wanted[d].append(ids[n])
+    for d, docs in wanted.items():
+        pieces = sorted(by_doc[d], key=lambda r: (r.doc_tokens, r.start))
+        assert sum(r.length for r in pieces) == sum(map(len, docs))
+        for full in docs:  # a repeated document has its own pieces
+            mine = [r for r in pieces if r.doc_tokens == len(full)]
+            for r in mine:
+                assert r.ids_crc32 == zlib.crc32(np.asarray(full[r.start:r.start + r.length], "<u4").tobytes())
+    sequences = defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append(r)
+    for pieces in sequences.values():
+        pieces.sort(key=lambda r: r.offset)
+        assert [r.offset for r in pieces] == list(np.cumsum([0] + [r.length for r in pieces[:-1]]))
+        assert sum(r.length for r in pieces) <= limits[0] and len(pieces) <= limits[1]
+    return sequences
+
+
+def test_packing_is_whole_and_tight(spark, make_docs):
+    from prose import prose
+    rows = [(i, prose(i, 3 + (i * 37) % 900)) for i in range(300)] + [(900, "word " * 9000), (901, None), (902, ""),
+                                                                       (None, "no id here"), (903, "x y"), (903, "x y")]
+    got = packing.pack_documents(make_docs(rows), WORD_BPE).collect()
+    sequences = check_packed(rows, got)
+    total = sum(r.length for r in got)
+    assert len(sequences) <= -(-total // 4096) + 1  # one group: at most one bin beyond the bound
+    assert all(r.ids is not None for r in got)
+
+
+def test_packing_limits_on_segments(spark, make_docs):
+    rows = [(i, "a b c") for i in range(100)]
+    pieces = packing.tokenised_pieces(make_docs(rows), WORD_BPE, with_ids=False)
+    got = packing.pack(pieces, max_segments=8).collect()
+    sequences = check_packed(rows, got, (4096, 8, 4096))
+    assert len(sequences) == 13
+
+
+def test_packing_of_nothing(spark, make_docs):
+    assert packing.pack_documents(make_docs([(1, "a")]).limit(0), WORD_BPE).count() == 0

@@ -15,7 +15,9 @@ from .jaccard import similar_documents
 from .language import fit_language, predict_language
 from .licenses import scan_licenses
 from .mixing import mix_sources
+from .packing import pack_documents
 from .prefix_trie import prefix_trie
+from .repair import repair_damaged
 from .quality import THRESHOLD, fit_quality, score_quality
 from .sharding import HASH_BITS, shard
 from .suffix_dedup import remove_repeats
@@ -98,6 +100,15 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(read(spark, sf_dir, "conversations"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(read(spark, sf_dir, "conversations"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def crc32_sql(text: str) -> str:
     """Unsigned crc32 of an ASCII text, bit by bit, for DuckDB (which has none)."""
     step = "lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END"
@@ -161,6 +172,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses, "op2_language": op2_language, "op3_sharding": op3_sharding,
     "op4_topk": op4_topk, "op5_suffix_dedup": op5_suffix_dedup, "op6_quality": op6_quality, "op7_bpe": op7_bpe, "op8_jaccard": op8_jaccard, "op9_mixing": op9_mixing,
     "op10_embedding_dedup": op10_embedding_dedup, "op11_prefix_trie": op11_prefix_trie,
+    "op12_repair": op12_repair, "op13_packing": op13_packing,
     "shard_small": shard_small,
 }
 
