@@ -422,6 +422,8 @@ WHERE ticket_id IN (SELECT DISTINCT ticket_id FROM ({_MESSAGES}) AS k ORDER BY t
         "NULL, NULL, NULL, NULL, TRUE FROM tickets WHERE issue_category = 'Billing'", "tickets"),
     "payload_roundtrip": ORACLE_SQL["link_payload"],
     "retrieve_topk_terms": ORACLE_SQL["retrieve_topk"],
+    "retrieve_topk_blockmax": ORACLE_SQL["retrieve_topk"],
+    "chunk_weights_segments": ORACLE_SQL["chunk_weights"],
     "retrieve_topk_chunks": ORACLE_SQL["retrieve_topk"],
     "dense_knn_slices": ORACLE_SQL["dense_knn"],
     "multiturn_records": ORACLE_SQL["multiturn_chatml"],

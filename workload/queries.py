@@ -16,6 +16,8 @@ from tidegate.operators.answer import answer_queries
 from tidegate.operators.chunking import chunk_documents
 from tidegate.operators.dense import dense_knn
 from tidegate.operators.retrieval import retrieve, retrieval_report
+from tidegate.operators.blockmax import BlockMaxima, block_maxima, retrieve_blockmax
+from tidegate.operators.segments import add_segment, merge_segments
 from tidegate.operators.tfidf import TextIndex, build_index
 from tidegate.plans.crawl import screened_frontier, write_link_payloads
 from tidegate.plans.guarded_rag import guarded_rag
@@ -221,6 +223,16 @@ def chunk_weights(spark, sf_dir):
         F.round("weight", 6).alias("weight"))
 
 
+def chunk_weights_segments(spark, sf_dir):
+    """The weights of ``chunk_weights`` from an index grown by three segments, added out of order."""
+    docs = table(spark, sf_dir, "documents")
+    path = new_path(spark, "segmented-index")
+    for part in (2, 0, 1):
+        add_segment(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == part), path)
+    return merge_segments(spark, path).postings.select(
+        "doc_id", "chunk_no", "term", F.col("tf").cast("bigint").alias("tf"), F.round("weight", 6).alias("weight"))
+
+
 def _topk(spark, sf_dir, **options):
     ranked = retrieve(_benchmark(spark, sf_dir), index_of(spark, sf_dir), **options)
     return ranked.withColumn("rank", F.col("rank").cast("bigint")).withColumn(
@@ -231,6 +243,23 @@ def retrieve_topk(spark, sf_dir):
     return _topk(spark, sf_dir)
 
 
+_maxima: dict[tuple[str, str], BlockMaxima] = {}
+
+
+def maxima_of(spark: SparkSession, sf_dir: str) -> BlockMaxima:
+    """Block maxima of the index over ``documents``, stored once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _maxima:
+        _maxima[key] = block_maxima(index_of(spark, sf_dir))
+    return _maxima[key]
+
+
+def retrieve_topk_blockmax(spark, sf_dir):
+    """The same answers, scoring only the blocks whose bound reaches each query's threshold."""
+    ranked, _ = retrieve_blockmax(_benchmark(spark, sf_dir), index_of(spark, sf_dir), maxima_of(spark, sf_dir))
+    return ranked.withColumn("rank", F.col("rank").cast("bigint")).withColumn("distance", F.round("distance", 6))
+
+
 def retrieve_topk_terms(spark, sf_dir):
     """The same answers from the postings of the query terms, however many match."""
     return _topk(spark, sf_dir, few=float("inf"))
@@ -375,6 +404,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chunk_weights": chunk_weights,
     "retrieve_topk": retrieve_topk,
     "retrieve_topk_terms": retrieve_topk_terms,
+    "retrieve_topk_blockmax": retrieve_topk_blockmax,
+    "chunk_weights_segments": chunk_weights_segments,
     "retrieve_topk_chunks": retrieve_topk_chunks,
     "retrieval_report": retrieval_summary,
     "dense_knn": knn,
