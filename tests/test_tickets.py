@@ -88,3 +88,22 @@ def test_preparation_end_to_end(spark, csv_path, tmp_path):
     assert "T-1" in done.chatml_preview.first().preview
     assert spark.read.parquet(str(tmp_path / "out/overlong")).count() == 1
     assert spark.read.parquet(str(tmp_path / "out/clean")).filter(F.col("ticket_id") == "T-5").count() == 1
+
+
+@pytest.mark.parametrize("range_bytes", [64, 300, 1 << 20])
+def test_split_csv_equals_the_multi_line_reader(spark, tmp_path, range_bytes):
+    from tidegate.sources.split_csv import read_split_csv
+    header = "ticket_id,issue_category,customer_query,agent_context,verified_resolution"
+    for name, count in (("a.csv", 120), ("b.csv", 7)):
+        rows = [header]
+        for i in range(count):
+            q = f'"one\nline ""two"" {i}\r\n\nthree"' if i % 3 == 0 else f"plain {i}"
+            extra = ',"one, too many"' if i % 7 == 0 else ""
+            short = i % 11 == 5
+            rows.append(f'{name}-{i},{"NA" if i % 5 == 0 else "General"},{q}' + ("" if short else f',ctx {i},"sol,\n{i}"{extra}'))
+        (tmp_path / name).write_text("\n".join(rows) + "\n\n")
+    got, got_over = read_split_csv(spark, str(tmp_path), range_bytes)
+    want, want_over = read_tickets(spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert sorted(map(tuple, got_over.collect())) == sorted(map(tuple, want_over.collect()))
+    assert got.count() > 100 and got_over.count() > 10

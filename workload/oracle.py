@@ -429,4 +429,5 @@ WHERE ticket_id IN (SELECT DISTINCT ticket_id FROM ({_MESSAGES}) AS k ORDER BY t
     "multiturn_records": ORACLE_SQL["multiturn_chatml"],
 }
 ORACLE_SQL["stream_guardrail"] = ORACLE_SQL["input_guardrail"]
+ORACLE_SQL["tickets_csv_split"] = ORACLE_SQL["tickets_csv"]
 ORACLE_SQL["stream_rag"] = ORACLE_SQL["guarded_rag"]

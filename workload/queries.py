@@ -23,6 +23,7 @@ from tidegate.plans.crawl import screened_frontier, write_link_payloads
 from tidegate.plans.guarded_rag import guarded_rag
 from tidegate.sources.jsonl import (
     CHATML_SCHEMA, output_manifest, read_alpaca, read_chatml, read_payloads, write_jsonl)
+from tidegate.sources.split_csv import read_split_csv
 from tidegate.sources.tickets_csv import null_na_tokens, read_tickets
 from tidegate.storage import new_path
 from tidegate.streaming.queries import read_query_stream, start_guarded_rag, start_guardrail
@@ -156,8 +157,8 @@ def record_preview(spark, sf_dir):
     return sft.explode_messages(shown, "ticket_id")
 
 
-def tickets_csv(spark, sf_dir):
-    """Tickets written as CSV, every seventh conversation with a field too many, and read back."""
+def _tickets_as_csv(spark, sf_dir) -> str:
+    """Tickets written as CSV files with a header, every seventh conversation with a field too many."""
     path = new_path(spark, "tickets-csv")
     fields = [F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
               for c in tickets.REQUIRED_COLUMNS]
@@ -173,12 +174,25 @@ def tickets_csv(spark, sf_dir):
 
     rows = view(spark, sf_dir, "tickets").select(line.alias("value"))
     rows.repartition(3).mapInPandas(under_a_header, "value string").write.text(path)
-    found, overlong = read_tickets(spark, path)
+    return path
+
+
+def _tickets_found(found: DataFrame, overlong: DataFrame) -> DataFrame:
     keyed = overlong.select(F.regexp_extract("raw", '^"([^"]*)"', 1).alias("ticket_id"))
     return (found.select(*tickets.REQUIRED_COLUMNS, F.lit(False).alias("overlong"))
             .unionByName(keyed.withColumn("overlong", F.lit(True)), allowMissingColumns=True))
 
 
+def tickets_csv(spark, sf_dir):
+    """Tickets written as CSV, every seventh conversation with a field too many, and read back."""
+    return _tickets_found(*read_tickets(spark, _tickets_as_csv(spark, sf_dir)))
+
+
+def tickets_csv_split(spark, sf_dir):
+    """The same files read in byte ranges of 64 KB: record ends found by quote parity."""
+    return _tickets_found(*read_split_csv(spark, _tickets_as_csv(spark, sf_dir), range_bytes=64 * 1024))
+
+
 # --- guardrails -----------------------------------------------------------------------
 def _flat(df: DataFrame, result: str, *keys: str) -> DataFrame:
     return df.select(*keys, *[F.col(f"{result}.{f}").alias(f) for f in (
@@ -406,6 +420,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retrieve_topk_terms": retrieve_topk_terms,
     "retrieve_topk_blockmax": retrieve_topk_blockmax,
     "chunk_weights_segments": chunk_weights_segments,
+    "tickets_csv_split": tickets_csv_split,
     "retrieve_topk_chunks": retrieve_topk_chunks,
     "retrieval_report": retrieval_summary,
     "dense_knn": knn,
