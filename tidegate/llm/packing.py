@@ -16,6 +16,7 @@ padding stays near the bound of one partial bin per group.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidegate.llm.common import remembered
-from tidegate.storage import materialise
+from tidegate.storage import materialise, spread
 
 SEQUENCE = 4096
 #: Limits of a sequence beside its tokens: segments (pieces) and loss-bearing tokens.
@@ -39,7 +40,9 @@ GROUP_TOKENS = 1 << 22
 GROUP_PIECES = 8192
 #: Texts longer than this are encoded in parts cut at spaces or newlines, which the word
 #: tokenizer drops, so the ids are those of the whole text.
-ENCODE_CHARS = 1 << 20
+ENCODE_CHARS = 1 << 18
+#: Characters given to the tokenizer at once: its encodings take some 100 bytes a token.
+BATCH_CHARS = 1 << 20
 
 
 def _cut_text(text: str) -> list[str]:
@@ -61,10 +64,16 @@ def encode(texts: list[str], tokenizer) -> list[np.ndarray]:
         for part in _cut_text(text):
             pieces.append(part)
             owner.append(n)
-    encoded = tokenizer.encode_batch(pieces, add_special_tokens=False) if pieces else []
     ids: list[list[np.ndarray]] = [[] for _ in texts]
-    for n, e in zip(owner, encoded):
-        ids[n].append(np.asarray(e.ids, dtype=np.uint32))
+    at = 0
+    while at < len(pieces):
+        stop, chars = at, 0
+        while stop < len(pieces) and (stop == at or chars + len(pieces[stop]) <= BATCH_CHARS):
+            chars += len(pieces[stop])
+            stop += 1
+        for n, e in zip(owner[at:stop], tokenizer.encode_batch_fast(pieces[at:stop], add_special_tokens=False)):
+            ids[n].append(np.asarray(e.ids, dtype=np.uint32))
+        at = stop
     end = np.array([END_ID], dtype=np.uint32)
     return [np.concatenate([*parts, end]) for parts in ids]
 
@@ -73,6 +82,7 @@ def _tokenise(path: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = remembered("packing")
         if path not in kept:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core; no pool of threads in it
             from tokenizers import Tokenizer
             kept[path] = Tokenizer.from_file(path)
         tokenizer = kept[path]
@@ -111,8 +121,8 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, with_ids: bool = True
     numbers rows uniquely (with ``start`` it names a piece). A null text is empty and has one piece: the end id. Every row is a
     document, repeated rows too.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       F.monotonically_increasing_id().alias("uid"))
+    rows = spread(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                               F.monotonically_increasing_id().alias("uid"))
     schema = "doc_id long, uid long, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long" + (
         ", ids array<int>" if with_ids else "")
     pieces = rows.mapInArrow(_tokenise(tokenizer_path, with_ids), schema)
