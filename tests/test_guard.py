@@ -135,3 +135,25 @@ def test_literals_are_really_needed():
         for text in HITS[d.kind]:
             found = re.search(d.pattern, text, re.I).group(0)
             assert any(n in found.lower() for n in d.needs) or set(found) & set(G.FOLD_TO_ASCII)
+
+
+@pytest.mark.parametrize("part_bytes", [64 * 1024 * 1024, 40])
+def test_phrase_table_equals_the_listed_rule(spark, monkeypatch, part_bytes):
+    from tidegate.operators import phrases as P
+    monkeypatch.setattr(P, "PART_BYTES", part_bytes)
+    listed = [(5, "hate speech"), (1, "slur"), (9, "slur"), (3, "b c"), (7, None), (8, "a"), (2, "zz top"), (6, "c")]
+    texts = [(1, "A B C slur"), (1, "A B C slur"), (2, "nothing here"), (3, None), (4, "HATE SPEECH and b c"), (5, ""),
+             (6, "Zz Top and a")]
+    got = P.listed_phrases(spark.createDataFrame(texts, "doc_id long, text string"),
+                           spark.createDataFrame(listed, "place long, phrase string"))
+    rows = sorted((r.doc_id, r.place, r.phrase) for r in got.collect())
+    ordered = [p for _, p in sorted((pl, ph) for pl, ph in listed if ph is not None)]
+    want = []
+    for d, t in texts:
+        hit = next((p for p in ordered if t is not None and p in t.lower()), None)
+        want.append((d, min(pl for pl, ph in listed if ph == hit) if hit else None, hit))
+    assert rows == sorted(want, key=lambda r: (r[0], r[1] if r[1] is not None else -1, r[2] or ""))
+    with_empty = P.listed_phrases(spark.createDataFrame(texts, "doc_id long, text string"),
+                                  spark.createDataFrame([(4, ""), (5, "a")], "place long, phrase string"))
+    assert sorted((r.doc_id, r.place) for r in with_empty.collect() if r.place is not None) == [
+        (1, 4), (1, 4), (2, 4), (4, 4), (5, 4), (6, 4)]

@@ -428,6 +428,16 @@ WHERE ticket_id IN (SELECT DISTINCT ticket_id FROM ({_MESSAGES}) AS k ORDER BY t
     "dense_knn_slices": ORACLE_SQL["dense_knn"],
     "multiturn_records": ORACLE_SQL["multiturn_chatml"],
 }
+_PHRASES = """
+WITH w AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[ \t\n\r]+'), lambda x: x <> '') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+g AS (SELECT item_id, unnest(range(0, len(w) - 1)) AS i, w FROM w WHERE len(w) >= 2),
+p AS (SELECT 4 + min(item_id * 1000000 + i) AS place, w[i + 1] || ' ' || w[i + 2] AS phrase FROM g GROUP BY 2
+  UNION ALL SELECT * FROM (VALUES (0, 'profanity1'), (1, 'profanity2'), (2, 'hate speech'), (3, 'slur')) AS f(place, phrase)),
+d AS (SELECT row_number() OVER () AS r, doc_id, lower(text) AS low FROM documents)
+SELECT d.doc_id, CAST(min(p.place) AS BIGINT) AS place, arg_min(p.phrase, p.place) AS phrase
+FROM d LEFT JOIN p ON contains(d.low, p.phrase) GROUP BY d.r, d.doc_id"""
+ORACLE_SQL["toxic_phrase_table"] = _PHRASES
 ORACLE_SQL["stream_guardrail"] = ORACLE_SQL["input_guardrail"]
 ORACLE_SQL["tickets_csv_split"] = ORACLE_SQL["tickets_csv"]
 ORACLE_SQL["stream_rag"] = ORACLE_SQL["guarded_rag"]

@@ -17,6 +17,7 @@ from tidegate.operators.chunking import chunk_documents
 from tidegate.operators.dense import dense_knn
 from tidegate.operators.retrieval import retrieve, retrieval_report
 from tidegate.operators.blockmax import BlockMaxima, block_maxima, retrieve_blockmax
+from tidegate.operators.phrases import listed_phrases
 from tidegate.operators.segments import add_segment, merge_segments
 from tidegate.operators.tfidf import TextIndex, build_index
 from tidegate.plans.crawl import screened_frontier, write_link_payloads
@@ -210,6 +211,24 @@ def guardrail_summary(spark, sf_dir):
         guard.violation_summary(answers, {"output": "output_guardrail"}))
 
 
+def phrase_table(spark, sf_dir) -> DataFrame:
+    """The fixed toxic phrases at places 0 to 3, then every word pair of ``benchmark`` at its first place."""
+    fixed = spark.createDataFrame(list(enumerate(guard.TOXIC_PHRASES)), "place long, phrase string")
+    words = F.filter(F.split(F.lower("text"), "[ \t\n\r]+"), lambda w: w != "")
+    pairs = F.when(F.size("w") >= 2, F.transform(F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.struct(
+        i.alias("i"), F.concat(F.col("w")[i], F.lit(" "), F.col("w")[i + 1]).alias("phrase"))))
+    found = (table(spark, sf_dir, "benchmark").where(F.col("item_id").isNotNull())
+             .select("item_id", words.alias("w")).select("item_id", F.explode(pairs).alias("p"))
+             .groupBy(F.col("p.phrase").alias("phrase"))
+             .agg((F.min(F.col("item_id") * 1_000_000 + F.col("p.i")) + 4).alias("place")))
+    return fixed.unionByName(found.select("place", "phrase"))
+
+
+def toxic_phrase_table(spark, sf_dir):
+    """Every document against a phrase table from ``benchmark``: the phrase of the smallest place."""
+    return listed_phrases(table(spark, sf_dir, "documents"), phrase_table(spark, sf_dir))
+
+
 def output_guardrail(spark, sf_dir):
     return _flat(guard.guard_answers(view(spark, sf_dir, "answers")), "output_guardrail", "doc_id")
 
@@ -421,6 +440,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retrieve_topk_blockmax": retrieve_topk_blockmax,
     "chunk_weights_segments": chunk_weights_segments,
     "tickets_csv_split": tickets_csv_split,
+    "toxic_phrase_table": toxic_phrase_table,
     "retrieve_topk_chunks": retrieve_topk_chunks,
     "retrieval_report": retrieval_summary,
     "dense_knn": knn,
