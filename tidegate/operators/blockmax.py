@@ -6,8 +6,8 @@ score of any chunk in a block is at most the sum, over the query's terms, of the
 times the block maximum: the block's bound. Then:
 
 1. bounds of every (query, block) that shares a term, from the block maxima only;
-2. the block of the highest bound per query is scored exactly; its k-th best score is a
-   threshold that the k-th best of all chunks reaches too;
+2. the ``FIRST_BLOCKS`` blocks of the highest bounds per query are scored exactly; their k-th
+   best score is a threshold that the k-th best of all chunks reaches too;
 3. only blocks whose bound reaches the threshold are scored, by joining the postings on
    (term, block) with the query terms of those blocks, so a frequent term is read in many
    small keys, and the k best per query are ranked as :func:`retrieve` does.
@@ -30,6 +30,8 @@ from tidegate.operators.tfidf import CHUNK_KEYS, TextIndex
 from tidegate.storage import Scratch, materialise
 
 CHUNKS_PER_BLOCK = 64
+#: Blocks of the highest bounds that each query scores first, for its threshold.
+FIRST_BLOCKS = 16
 #: A bound this far below the threshold still counts: scores are rounded before they rank.
 _SLACK = 10.0 ** -_PLACES
 
@@ -58,7 +60,7 @@ def block_maxima(index: TextIndex, chunks_per_block: int = CHUNKS_PER_BLOCK) ->
 
 
 def retrieve_blockmax(queries: DataFrame, index: TextIndex, maxima: BlockMaxima, k: int = TOP_K,
-                      keep: Scratch | None = None) -> tuple[DataFrame, dict]:
+                      keep: Scratch | None = None, first_blocks: int = FIRST_BLOCKS) -> tuple[DataFrame, dict]:
     """``query_id, rank, doc_id, chunk_no, distance`` as :func:`retrieve`, and what was scored.
 
     The second value holds ``matches`` (query-posting pairs that share a term) and ``scored``
@@ -83,16 +85,19 @@ def retrieve_blockmax(queries: DataFrame, index: TextIndex, maxima: BlockMaxima,
                     .groupBy("query_id", *CHUNK_KEYS)
                     .agg(F.sum(F.col("weight") * F.col("chunk_weight")).alias("score")))
 
-        first = bounds.groupBy("query_id").agg(F.max_by("block", F.struct("bound", F.col("block") * -1)).alias("block"))
+        first = best_per_query(bounds, first_blocks, F.col("bound").desc(), "block").select("query_id", "block")
         first = scratch.materialise(first, "first")
-        head = best_per_query(scores(first), k, F.col("score").desc(), *CHUNK_KEYS)
+        first_scores = scratch.materialise(scores(first), "first-scores")
+        head = best_per_query(first_scores, k, F.col("score").desc(), *CHUNK_KEYS)
         threshold = (head.groupBy("query_id").agg(F.min("score").alias("threshold"), F.count("*").alias("n"))
                      .where(F.col("n") >= k).select("query_id", "threshold"))
+        # a chunk lies in one block: the first blocks' scores stand, the others that may rank are added
         kept = scratch.materialise(
-            bounds.join(threshold, "query_id", "left")
+            bounds.join(first, ["query_id", "block"], "left_anti").join(threshold, "query_id", "left")
             .where(F.col("threshold").isNull() | (F.col("bound") >= F.col("threshold") - _SLACK))
             .select("query_id", "block", "n_postings"), "kept")
-        scored = scores(kept).select("query_id", *CHUNK_KEYS, F.round(1 - F.col("score"), _PLACES).alias("distance"))
+        scored = first_scores.unionByName(scores(kept)).select(
+            "query_id", *CHUNK_KEYS, F.round(1 - F.col("score"), _PLACES).alias("distance"))
         order = (F.col("distance"), *CHUNK_KEYS)
         filled = (best_per_query(scored, k, *order).drop("rank")
                   .unionByName(_padding(queries, index, k))
@@ -100,6 +105,5 @@ def retrieve_blockmax(queries: DataFrame, index: TextIndex, maxima: BlockMaxima,
         ranked = best_per_query(filled, k, *order).select("query_id", "rank", *CHUNK_KEYS, "distance")
         ranked = keep.materialise(ranked, "ranked") if keep else materialise(ranked, "ranked")
         matches = bounds.agg(F.sum("n_postings")).first()[0] or 0
-        first_postings = bounds.join(first, ["query_id", "block"]).agg(F.sum("n_postings")).first()[0] or 0
-        scored_postings = kept.agg(F.sum("n_postings")).first()[0] or 0
-    return ranked, {"matches": matches, "scored": first_postings + scored_postings, "blocks": maxima.blocks}
+        scored_postings = bounds.join(first, ["query_id", "block"]).select(*kept.columns).unionByName(kept).agg(F.sum("n_postings")).first()[0] or 0
+    return ranked, {"matches": matches, "scored": scored_postings, "blocks": maxima.blocks}
