@@ -157,3 +157,13 @@ def test_phrase_table_equals_the_listed_rule(spark, monkeypatch, part_bytes):
                                   spark.createDataFrame([(4, ""), (5, "a")], "place long, phrase string"))
     assert sorted((r.doc_id, r.place) for r in with_empty.collect() if r.place is not None) == [
         (1, 4), (1, 4), (2, 4), (4, 4), (5, 4), (6, 4)]
+
+
+def test_violation_rollup_levels_and_null_source(spark):
+    from tidegate.operators.guard import guard_answers, violation_rollup
+    rows = [(1, "this is hate speech", "web"), (2, "fine text", "web"), (3, "fine", None), (4, "ssn 123-45-6789", None)]
+    answers = guard_answers(spark.createDataFrame(rows, "doc_id long, answer string, source string"))
+    got = {(r.stage, r.violation_type, r.source, r.level): r.n for r in violation_rollup({"output": (answers, "output_guardrail")}).collect()}
+    assert got[("output", "passed", None, 0)] == 1 and got[("output", "passed", "web", 0)] == 1
+    assert got[("output", "passed", None, 1)] == 2 and got[("output", None, None, 3)] == 4 and got[(None, None, None, 7)] == 4
+    assert sum(n for k, n in got.items() if k[3] == 0) == 4

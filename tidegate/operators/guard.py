@@ -216,6 +216,24 @@ def violation_summary(screened: DataFrame, stages: dict[str, str]) -> DataFrame:
             .agg(F.count("*").alias("n")))
 
 
+def violation_rollup(screened: dict[str, tuple[DataFrame, str]], source: str = "source") -> DataFrame:
+    """Rows by stage, violation type and source, with the subtotals of a rollup.
+
+    ``screened`` maps a stage name to a table and its result column; every table has the
+    column ``source``. Result: ``stage, violation_type, source, level, n``; ``level`` is the
+    grouping id (0: all three, 1: stage and type, 3: stage, 7: everything), so a null source of
+    the data is told from a subtotal. Partial counts are merged before the shuffle.
+    """
+    rows = None
+    for name, (table, column) in screened.items():
+        part = table.select(F.lit(name).alias("stage"),
+                            F.coalesce(F.col(column)["violation_type"], F.lit("passed")).alias("violation_type"),
+                            F.col(source).cast("string").alias("source"))
+        rows = part if rows is None else rows.unionByName(part)
+    return (rows.rollup("stage", "violation_type", "source")
+            .agg(F.grouping_id().cast("int").alias("level"), F.count("*").alias("n")))
+
+
 def screen_corpus(docs: DataFrame, text: str = "text", mask: bool = False) -> DataFrame:
     """Run both guardrails over a corpus: adds both results and ``clean``.
 

@@ -229,6 +229,13 @@ def toxic_phrase_table(spark, sf_dir):
     return listed_phrases(table(spark, sf_dir, "documents"), phrase_table(spark, sf_dir))
 
 
+def guardrail_rollup(spark, sf_dir):
+    """Violations by stage, type and source (the role of a prompt, the source of a document), with subtotals."""
+    prompts = guard.guard_queries(view(spark, sf_dir, "prompts")).withColumnRenamed("role", "source")
+    answers = guard.guard_answers(view(spark, sf_dir, "answers"))
+    return guard.violation_rollup({"input": (prompts, "input_guardrail"), "output": (answers, "output_guardrail")})
+
+
 def output_guardrail(spark, sf_dir):
     return _flat(guard.guard_answers(view(spark, sf_dir, "answers")), "output_guardrail", "doc_id")
 
@@ -441,6 +448,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chunk_weights_segments": chunk_weights_segments,
     "tickets_csv_split": tickets_csv_split,
     "toxic_phrase_table": toxic_phrase_table,
+    "guardrail_rollup": guardrail_rollup,
     "retrieve_topk_chunks": retrieve_topk_chunks,
     "retrieval_report": retrieval_summary,
     "dense_knn": knn,

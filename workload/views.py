@@ -37,7 +37,7 @@ SELECT doc_id, CASE doc_id % 40
  WHEN 5 THEN concat('ssn 123-45-6789 ', text)
  WHEN 6 THEN concat('this is Hate Speech ', text)
  WHEN 7 THEN concat('é123-45-6789 ', text)
- ELSE text END AS answer
+ ELSE text END AS answer, source
 FROM {documents}""",
     # missing values, blanks, control characters, blank lines, a decomposed letter
     "tickets": """
