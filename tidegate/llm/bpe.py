@@ -58,6 +58,14 @@ class Codec:
         self.compatible: dict[int, bool] = {}
         self.span = max(map(len, self.id_of))
         self.proposed = {t: i for t, i in self.id_of.items() if self.merge(t) == [i]}
+        # decoding: the bytes of all ids in one array, gathered at once
+        top = max(self.bytes_of) + 1
+        lengths = np.zeros(top, np.int64)
+        for i, b in self.bytes_of.items():
+            lengths[i] = len(b)
+        self.starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        self.lengths = lengths
+        self.flat = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(top)), np.uint8)
 
     def merge(self, word: bytes) -> list[int]:
         """Exact encoding of one word: always the merge of lowest rank, the leftmost of equals."""
@@ -149,7 +157,10 @@ class Codec:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of token ids; bytes that are no UTF-8 become U+FFFD."""
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        ids = np.asarray(ids, np.int64)
+        sizes = self.lengths[ids]
+        offsets = np.repeat(self.starts[ids] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+        return self.flat[offsets + np.arange(int(sizes.sum()))].tobytes().decode("utf-8", "replace")
 
 
 def codec(content: str) -> Codec:
