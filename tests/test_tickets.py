@@ -107,3 +107,17 @@ def test_split_csv_equals_the_multi_line_reader(spark, tmp_path, range_bytes):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
     assert sorted(map(tuple, got_over.collect())) == sorted(map(tuple, want_over.collect()))
     assert got.count() > 100 and got_over.count() > 10
+
+
+def test_row_numbers_over_parts_equal_one_window(spark):
+    from pyspark.sql import Window
+
+    from tidegate.operators.numbering import number_rows
+    rows = [(i % 7 if i % 5 else None, f"t{i % 3}", i % 11) for i in range(500)] + [(1, "t1", 1)] * 200
+    df = spark.createDataFrame(rows, "a long, b string, c long").repartition(6)
+    order = [F.col("a").desc_nulls_last(), F.col("b").asc_nulls_first(), F.col("c").asc_nulls_first()]
+    got = sorted((tuple(r) for r in number_rows(df, *order).collect()), key=repr)
+    want = sorted((tuple(r) for r in df.withColumn("row_no", F.row_number().over(Window.orderBy(*order))).collect()), key=repr)
+    assert got == want
+    assert sorted(r.row_no for r in number_rows(df, *order).collect()) == list(range(1, 701))
+    assert number_rows(df.limit(0), *order).count() == 0

@@ -438,6 +438,9 @@ d AS (SELECT row_number() OVER () AS r, doc_id, lower(text) AS low FROM document
 SELECT d.doc_id, CAST(min(p.place) AS BIGINT) AS place, arg_min(p.phrase, p.place) AS phrase
 FROM d LEFT JOIN p ON contains(d.low, p.phrase) GROUP BY d.r, d.doc_id"""
 ORACLE_SQL["toxic_phrase_table"] = _PHRASES
+ORACLE_SQL["numbered_documents"] = """
+SELECT row_number() OVER (ORDER BY n_chars DESC NULLS LAST, doc_id ASC NULLS FIRST, text ASC NULLS FIRST,
+  lang ASC NULLS FIRST, source ASC NULLS FIRST) AS row_no, doc_id, n_chars FROM documents"""
 ORACLE_SQL["guardrail_rollup"] = sql(f"""
 SELECT stage, violation_type, source, CAST(grouping(stage, violation_type, source) AS INTEGER) AS level, count(*) AS n
 FROM (SELECT 'input' AS stage, coalesce({_in['kind']}, 'passed') AS violation_type, role AS source FROM prompts

@@ -17,6 +17,7 @@ from tidegate.operators.chunking import chunk_documents
 from tidegate.operators.dense import dense_knn
 from tidegate.operators.retrieval import retrieve, retrieval_report
 from tidegate.operators.blockmax import BlockMaxima, block_maxima, retrieve_blockmax
+from tidegate.operators.numbering import number_rows
 from tidegate.operators.phrases import listed_phrases
 from tidegate.operators.segments import add_segment, merge_segments
 from tidegate.operators.tfidf import TextIndex, build_index
@@ -184,6 +185,13 @@ def _tickets_found(found: DataFrame, overlong: DataFrame) -> DataFrame:
             .unionByName(keyed.withColumn("overlong", F.lit(True)), allowMissingColumns=True))
 
 
+def numbered_documents(spark, sf_dir):
+    """Every document numbered by length (longest first), then id, text, language and source."""
+    docs = table(spark, sf_dir, "documents")
+    order = [F.col("n_chars").desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in ("doc_id", "text", "lang", "source")]]
+    return number_rows(docs, *order).select("row_no", "doc_id", "n_chars")
+
+
 def tickets_csv(spark, sf_dir):
     """Tickets written as CSV, every seventh conversation with a field too many, and read back."""
     return _tickets_found(*read_tickets(spark, _tickets_as_csv(spark, sf_dir)))
@@ -449,6 +457,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tickets_csv_split": tickets_csv_split,
     "toxic_phrase_table": toxic_phrase_table,
     "guardrail_rollup": guardrail_rollup,
+    "numbered_documents": numbered_documents,
     "retrieve_topk_chunks": retrieve_topk_chunks,
     "retrieval_report": retrieval_summary,
     "dense_knn": knn,
