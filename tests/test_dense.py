@@ -51,3 +51,41 @@ def test_odd_vectors_take_no_part(spark):
 def test_no_queries(spark):
     v = spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<double>")
     assert dense_knn(v, v.withColumnRenamed("vec_id", "query_id").limit(0)).count() == 0
+
+
+def test_neither_side_passes_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refused(self, *_):
+        raise AssertionError("collected")
+
+    for name in ("toPandas", "toArrow", "toLocalIterator"):
+        monkeypatch.setattr(DataFrame, name, refused)
+    v = spark.range(300).selectExpr("id AS vec_id", "array(cos(id), sin(id)) AS embedding").repartition(3)
+    found = dense_knn(v, v.withColumnRenamed("vec_id", "query_id"), k=2, slice_bytes=500)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.undo()
+    assert "CartesianProduct" in plan and "BroadcastExchange" not in plan and plan.count("MapInArrow") == 3
+    assert found.where("rank = 1 AND vec_id = query_id AND distance = 0").count() == 300
+
+
+def test_null_ids_and_lengths_in_one_slice(spark):
+    rows = [(None, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0, 0.0]), (2, [0.0, 1.0, 0.0])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = dense_knn(v, v.withColumnRenamed("vec_id", "query_id"), k=3).collect()
+    assert sorted((str(r.query_id), r.rank, str(r.vec_id), r.distance) for r in got) == sorted(
+        [("None", 1, "None", 0.0), ("None", 2, "1", 0.0), ("1", 1, "None", 0.0), ("1", 2, "1", 0.0), ("2", 1, "2", 0.0), ("2", 2, "2", 0.0), ("2", 3, "2", 0.0)])
+
+
+def test_many_blocks_in_a_task_equal_brute_force(spark, monkeypatch):
+    from tidegate.operators import dense
+    monkeypatch.setattr(dense, "_BLOCK_VECTORS", 5)
+    monkeypatch.setattr(dense, "_MERGE", 3)
+    rng = np.random.default_rng(9)
+    vectors = [(i, [float(x) for x in rng.integers(-2, 3, size=3)]) for i in range(200)]
+    v = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(2)
+    rows = dense_knn(v, v.withColumnRenamed("vec_id", "query_id"), k=3, slice_bytes=2000)
+    got = {}
+    for r in rows.orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {q: [x[1] for x in w] for q, w in brute_force(vectors, vectors, 3).items()}

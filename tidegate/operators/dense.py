@@ -1,8 +1,9 @@
 """Exact cosine nearest neighbours on given vectors.
 
-Every query has to meet every vector. Vectors stay where they are; queries are sent to
-them in slices of bounded size, one scan for each slice, and a task returns its best k
-per query, never the pairs.
+Every query has to meet every vector. Both are packed into blocks of bounded size, one row
+each: queries by slices, vectors by tasks. Every block of queries meets every block of vectors
+in a Cartesian product, which keeps at most one partition of blocks in a task; a task
+returns its best k per query, never the pairs, and nothing passes the driver.
 """
 
 from __future__ import annotations
@@ -11,9 +12,12 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidegate.operators.retrieval import TOP_K, best_per_query
 
@@ -21,12 +25,14 @@ _BLOCK_ROWS = 1024           # queries multiplied at once
 _SLICE_BYTES = 32 * 1024 * 1024
 _ID_BYTES = 64
 _PLACES = 9
-_FOUND = "query_id {0}, vec_id {1}, distance double"
+_BLOCK_VECTORS, _BLOCK_BYTES = 4096, 4 * 1024 * 1024    # a block of vectors
+_PARTITION_BYTES = 32 * 1024 * 1024                     # blocks of one partition of the product
+_MERGE = 8                                              # results of blocks that a task holds for a slice
 
 
 def _unit(rows) -> np.ndarray:
     """Rows scaled to length one; a zero row stays zero, so its distance is 1."""
-    m = np.array(list(rows), dtype=np.float64)
+    m = np.asarray(rows, dtype=np.float64)
     length = np.linalg.norm(m, axis=1, keepdims=True)
     return np.divide(m, length, out=np.zeros_like(m), where=length > 0)
 
@@ -37,24 +43,69 @@ def is_vector(embedding: str = "embedding") -> Column:
     return F.coalesce((F.size(embedding) > 0) & F.forall(embedding, finite), F.lit(False))
 
 
-def _nearest(query_ids, queries: np.ndarray, vec_ids, vectors: np.ndarray, k: int) -> pd.DataFrame:
-    """The best ``k`` of one block of vectors for each query of one block; ties fall to
-    the lowest id."""
-    order = np.argsort(vec_ids, kind="stable")
-    vec_ids, vectors = np.asarray(vec_ids)[order], vectors[order]
-    distance = np.round(1.0 - queries @ vectors.T, _PLACES) + 0.0
-    n = len(vec_ids)
-    if n > k:
-        # distance and position in one integer: unique, so the cut at k is exact
-        rank = np.rint(distance * 10**_PLACES).astype(np.int64) * n + np.arange(n)
-        best = np.argpartition(rank, k - 1, axis=1)[:, :k]
-    else:
-        best = np.tile(np.arange(n), (len(query_ids), 1))
-    return pd.DataFrame({
-        "query_id": np.repeat(np.asarray(query_ids), best.shape[1]),
-        "vec_id": vec_ids[best.ravel()],
-        "distance": np.take_along_axis(distance, best, axis=1).ravel(),
-    })
+def _blocks(rows: DataFrame, name: str, most_rows: int, most_bytes: int) -> DataFrame:
+    """Vectors of unit length packed by consecutive rows of one ``part`` and length: ``ids, width, matrix``."""
+    kind = rows.schema[name].dataType
+    schema = T.StructType([T.StructField(f"{name}s", T.ArrayType(kind)), T.StructField(f"{name}_width", T.IntegerType()),
+                           T.StructField(f"{name}_matrix", T.BinaryType())])
+    target = to_arrow_schema(schema)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            widths = pc.list_value_length(batch.column("embedding")).to_numpy()
+            parts = batch.column("part").to_numpy()
+            for part, width in sorted(set(zip(parts.tolist(), widths.tolist()))):
+                own = np.flatnonzero((parts == part) & (widths == width))
+                step = max(1, min(most_rows, most_bytes // (8 * width)))
+                for at in range(0, len(own), step):
+                    rows = batch.take(pa.array(own[at:at + step]))
+                    unit = _unit(rows.column("embedding").flatten().to_numpy().reshape(-1, width))
+                    ids = rows.column(name)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([width], pa.int32()),
+                         pa.array([unit.tobytes()], pa.binary())], schema=target)
+
+    return rows.select("part", name, "embedding").mapInArrow(pack, schema)
+
+
+def _nearest(queries: np.ndarray, vec_ids: pa.Array, vectors: np.ndarray, k: int, block_rows: int) -> tuple[pa.Array, np.ndarray]:
+    """Ids and distances (a row for each query) of the best ``k`` of one block of vectors,
+    which is ordered by id; ties fall to the lowest id."""
+    n, places, near = len(vec_ids), [], []
+    for i in range(0, len(queries), block_rows):
+        distance = np.round(1.0 - queries[i:i + block_rows] @ vectors.T, _PLACES) + 0.0
+        places.append(_lowest(distance, np.arange(n), k))
+        near.append(np.take_along_axis(distance, places[-1], axis=1))
+    return vec_ids.take(pa.array(np.concatenate(places).ravel())), np.concatenate(near)
+
+
+def _lowest(distance: np.ndarray, order: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the ``k`` lowest distances of each row, ties by ``order``, whose numbers are unique in a row."""
+    if distance.shape[1] <= k:
+        return np.tile(np.arange(distance.shape[1]), (len(distance), 1))
+    # distance and order in one integer: unique, so the cut at k is exact
+    rank = np.rint(distance * 10**_PLACES).astype(np.int64) * (int(order.max()) + 1) + order
+    return np.argpartition(rank, k - 1, axis=1)[:, :k]
+
+
+def _merged(found: list[tuple[pa.Array, np.ndarray]], k: int) -> tuple[pa.Array, np.ndarray]:
+    """The best ``k`` of the results of several blocks for the same queries."""
+    if len(found) == 1:
+        return found[0]
+    distance = np.concatenate([d for _, d in found], axis=1)
+    # the place of every candidate among all ids
+    ids = pa.concat_arrays([i for i, _ in found])
+    order = np.empty(len(ids), np.int64)
+    order[pc.array_sort_indices(ids, null_placement="at_start").to_numpy()] = np.arange(len(ids))
+    starts = np.cumsum([0, *(d.size for _, d in found)])
+    at = np.concatenate([s + np.arange(d.size).reshape(d.shape) for s, (_, d) in zip(starts, found)], axis=1)
+    best = _lowest(distance, order[at], k)
+    return ids.take(pa.array(np.take_along_axis(at, best, axis=1).ravel())), np.take_along_axis(distance, best, axis=1)
+
+
+def _rows(query_ids: pa.Array, vec_ids: pa.Array, distance: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
+    each = np.repeat(np.arange(len(query_ids)), distance.shape[1])
+    return pa.RecordBatch.from_arrays([query_ids.take(pa.array(each)), vec_ids, pa.array(distance.ravel())], schema=schema)
 
 
 def dense_knn(
@@ -65,41 +116,47 @@ def dense_knn(
 
     ``vectors`` has ``vec_id, embedding`` and ``queries`` ``query_id, embedding``. Rows whose
     embedding is null, empty, or holds a null, NaN or infinite component take no part on
-    either side; vectors meet only queries of their own length. The queries are counted
-    first and cut into as many slices as ``slice_bytes`` asks for.
+    either side; vectors meet only queries of their own length. Both sides are counted
+    first; queries are cut into as many slices as ``slice_bytes`` asks for.
     """
+    cores = queries.sparkSession.sparkContext.defaultParallelism
     asked = queries.filter(is_vector()).select("query_id", "embedding")
-    n_queries, width = asked.agg(F.count("*"), F.max(F.size("embedding"))).first()
-    slices = max(1, math.ceil(n_queries * (8 * (width or 0) + _ID_BYTES) / slice_bytes))
-    found = None
-    for number in range(slices):
-        own = asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == number)
-        part = _scan(vectors.filter(is_vector()), own, k, block_rows)
-        found = part if found is None else found.unionByName(part)
-    return (best_per_query(found, k, F.col("distance"), "vec_id")
+    own = vectors.filter(is_vector()).select("vec_id", "embedding")
+    asked_bytes, own_bytes = _bytes(asked), _bytes(own)
+    slices = max(1, math.ceil(asked_bytes / slice_bytes))
+    slice_of = F.pmod(F.xxhash64("query_id"), F.lit(slices)).cast("int").alias("part")
+    # packed rows are dealt out once more, so that the product reads them and packs nothing again
+    sliced = (_blocks(asked.select(slice_of, "*").repartition(min(slices, cores), "part").sortWithinPartitions("part"), "query_id", 1 << 30, slice_bytes)
+              .repartition(max(1, math.ceil(asked_bytes / _PARTITION_BYTES))).withColumn("slice", F.monotonically_increasing_id()))
+    blocks = (_blocks(own.select(F.lit(0).alias("part"), "*"), "vec_id", _BLOCK_VECTORS, _BLOCK_BYTES)
+              .repartition(max(cores, math.ceil(own_bytes / _PARTITION_BYTES))))
+    # no equality that Spark could shuffle by: all vectors may be of one length
+    pairs = sliced.join(blocks.hint("shuffle_replicate_nl"), (F.col("query_id_width") - F.col("vec_id_width")) == 0)
+    schema = T.StructType([asked.schema["query_id"], own.schema["vec_id"], T.StructField("distance", T.DoubleType())])
+    target = to_arrow_schema(schema)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, found = None, []      # a slice meets the blocks of its task one after another
+        for batch in batches:
+            for at in range(batch.num_rows):
+                width, own = batch.column("query_id_width")[at].as_py(), batch.column("slice")[at].as_py()
+                side = lambda name: (batch.column(f"{name}s")[at].values, np.frombuffer(
+                    batch.column(f"{name}_matrix")[at].as_buffer(), np.float64).reshape(-1, width))
+                (query_ids, query), (vec_ids, vector) = side("query_id"), side("vec_id")
+                if own != last and found:
+                    yield _rows(asking, *_merged(found, k), target)
+                    found = []
+                last, asking = own, query_ids
+                order = pc.array_sort_indices(vec_ids, null_placement="at_start")
+                found.append(_nearest(query, vec_ids.take(order), vector[order.to_numpy()], k, block_rows))
+                if len(found) == _MERGE:
+                    found = [_merged(found, k)]
+        if found:
+            yield _rows(asking, *_merged(found, k), target)
+
+    return (best_per_query(pairs.mapInArrow(scan, schema), k, F.col("distance"), "vec_id")
             .select("query_id", "rank", "vec_id", "distance"))
 
 
-def _found_schema(vectors: DataFrame, queries: DataFrame) -> str:
-    kind = lambda df, c: df.schema[c].dataType.simpleString()
-    return _FOUND.format(kind(queries, "query_id"), kind(vectors, "vec_id"))
-
-
-def _scan(vectors: DataFrame, queries: DataFrame, k: int, block_rows: int) -> DataFrame:
-    local = queries.toPandas()
-    by_length = {
-        n: (g["query_id"].to_numpy(), _unit(g["embedding"]))
-        for n, g in local.groupby(local["embedding"].map(len))} if len(local) else {}
-    shared = vectors.sparkSession.sparkContext.broadcast(by_length)
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for n, rows in batch.groupby(batch["embedding"].map(len)) if len(batch) else ():
-                if n in shared.value:
-                    query_ids, asked = shared.value[n]
-                    ids, own = rows["vec_id"].to_numpy(), _unit(rows["embedding"])
-                    for i in range(0, len(query_ids), block_rows):
-                        yield _nearest(query_ids[i:i + block_rows], asked[i:i + block_rows], ids, own, k)
-
-    return (vectors.select("vec_id", "embedding")
-            .mapInPandas(scan, _found_schema(vectors, queries)))
+def _bytes(rows: DataFrame) -> int:
+    return rows.agg(F.coalesce(F.sum(F.size("embedding").cast("long") * 8 + _ID_BYTES), F.lit(0))).first()[0]
