@@ -193,3 +193,37 @@ def test_packing_limits_on_segments(spark, make_docs):
 
 def test_packing_of_nothing(spark, make_docs):
     assert packing.pack_documents(make_docs([(1, "a")]).limit(0), WORD_BPE).count() == 0
+
+
+def test_words_are_encoded_once_and_as_the_library_does():
+    """Odd characters, added tokens and long words get the library's ids; few words reach the library."""
+    from tokenizers import Tokenizer
+
+    class Counting:
+        """A tokenizer that counts what it is asked."""
+
+        def __init__(self, tokenizer):
+            self.own, self.model, self.pre_tokenizer, self.asked = tokenizer, self, tokenizer.pre_tokenizer, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.asked += len(" ".join(texts).split())
+            return self.own.encode_batch_fast(texts, **options)
+
+        def tokenize(self, piece):
+            self.asked += 1
+            return self.own.model.tokenize(piece)
+
+    tok = Tokenizer.from_file(WORD_BPE)
+    r = random.Random(4)
+    odd = ["a", "B", "'s", "'", "t", "9", " ", "\n", "\t", "\r\x0b", "\x1c", "\x85", "\xa0", " ", "́", "é", "İ", "À", "ß", "×",
+           "º", "Å", "<|endoftext|>", "<|", "|>", "中文", "٣", "²", "_", "!!", "\x00", "​", "ſ", "'LL", "\U0001f600", "ᄀ", "ᅡ"]
+    texts = ["".join(r.choice(odd) for _ in range(r.randint(0, 12))) for _ in range(4000)]
+    texts += ["x" * 300_000, "a b" * 100_000, "é" * 270_000, "ab," * 100_000 + " énd"]
+    for some in (texts, texts[:100]):
+        want = [e.ids + [2] for e in tok.encode_batch(some, add_special_tokens=False)]
+        assert [ids.tolist() for ids in packing.encode(some, tok, {})] == want
+    counting, kept = Counting(tok), {}
+    said = [" ".join(r.choice(["The", "the,", "été", "end."]) for _ in range(500)) for _ in range(20)]
+    got = packing.encode(said[:10], counting, kept) + packing.encode(said[10:], counting, kept)
+    assert [ids.tolist() for ids in got] == [e.ids + [2] for e in tok.encode_batch(said, add_special_tokens=False)]
+    assert counting.asked <= 6      # the, comma, ete, end, full stop, nothing

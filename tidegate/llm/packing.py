@@ -17,8 +17,9 @@ padding stays near the bound of one partial bin per group.
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,44 +39,109 @@ END_ID = 2
 #: Average size of a packing group: tokens and pieces.
 GROUP_TOKENS = 1 << 22
 GROUP_PIECES = 8192
-#: Texts longer than this are encoded in parts cut at spaces or newlines, which the word
-#: tokenizer drops, so the ids are those of the whole text.
+#: Texts longer than this are encoded in parts cut at spaces or line feeds.
 ENCODE_CHARS = 1 << 18
-#: Characters given to the tokenizer at once: its encodings take some 100 bytes a token.
+#: Characters encoded at once: the library's encodings take some 100 bytes a token.
 BATCH_CHARS = 1 << 20
+#: Words, and pieces of words, whose ids a worker remembers, and characters of the longest of them.
+KEPT_WORDS, KEPT_CHARS = 1 << 19, 64
+#: Letters beyond ASCII that normalising leaves alone or turns to one lower-case letter of the same range.
+_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_PLAIN = re.compile(f"[\\x00-\\x7f{_LETTERS}]*")
+#: What the tokenizer's own pattern takes for one piece of a lower-case word of such characters.
+_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^\sa-z0-9{_LETTERS}]+", re.ASCII)
 
 
-def _cut_text(text: str) -> list[str]:
-    parts, begin = [], 0
+def _cut_text(text: str) -> Iterator[str]:
+    """Parts of a text; a word stays whole, however long."""
+    begin = 0
     while len(text) - begin > ENCODE_CHARS:
         end = begin + ENCODE_CHARS
         cut = max(text.rfind(" ", begin, end), text.rfind("\n", begin, end))
-        end = cut + 1 if cut > begin else end
-        parts.append(text[begin:end])
-        begin = end
-    parts.append(text[begin:])
-    return parts
+        if cut < begin:
+            cut = min((x for x in (text.find(" ", end), text.find("\n", end)) if x >= 0), default=len(text))
+        yield text[begin:cut + 1]
+        begin = cut + 1
+    yield text[begin:]
 
 
-def encode(texts: list[str], tokenizer) -> list[np.ndarray]:
-    """Ids of every text as the library gives them without special tokens, then the end id."""
-    pieces, owner = [], []
-    for n, text in enumerate(texts):
-        for part in _cut_text(text):
-            pieces.append(part)
-            owner.append(n)
-    ids: list[list[np.ndarray]] = [[] for _ in texts]
+def _slices(texts: list[str]) -> Iterator[slice]:
+    """Texts of about ``BATCH_CHARS`` characters at a time; a longer one alone."""
     at = 0
-    while at < len(pieces):
+    while at < len(texts):
         stop, chars = at, 0
-        while stop < len(pieces) and (stop == at or chars + len(pieces[stop]) <= BATCH_CHARS):
-            chars += len(pieces[stop])
+        while stop < len(texts) and (stop == at or chars + len(texts[stop]) <= BATCH_CHARS):
+            chars += len(texts[stop])
             stop += 1
-        for n, e in zip(owner[at:stop], tokenizer.encode_batch_fast(pieces[at:stop], add_special_tokens=False)):
-            ids[n].append(np.asarray(e.ids, dtype=np.uint32))
+        yield slice(at, stop)
         at = stop
-    end = np.array([END_ID], dtype=np.uint32)
-    return [np.concatenate([*parts, end]) for parts in ids]
+
+
+def _learn_words(words: list[str], known: dict[str, bytes], tokenizer) -> None:
+    """Add the ids of words as the library gives them."""
+    for part in _slices(words):
+        found = tokenizer.encode_batch_fast(words[part], add_special_tokens=False)
+        known.update((w, np.asarray(e.ids, dtype="<u4").tobytes()) for w, e in zip(words[part], found))
+
+
+def _learn_pieces(pieces: Iterable[str], known: dict[str, bytes], tokenizer, kept: dict) -> None:
+    """Add the ids of pieces, which the library's model gives for their bytes as its pre-tokenizer spells them."""
+    if "spelt" not in kept:
+        plain = [chr(c) for c in range(256) if _PLAIN.fullmatch(chr(c)) and chr(c) not in " \t\n\r\f\v"]
+        kept["spelt"] = str.maketrans({c: "".join(x for x, _ in tokenizer.pre_tokenizer.pre_tokenize_str(c)) for c in plain})
+    spelt, model = kept["spelt"], tokenizer.model
+    for piece in pieces:
+        known[piece] = b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(piece.translate(spelt))])
+
+
+def _forget(known: dict[str, bytes], new: Iterable[str]) -> None:
+    """Keep what is remembered bounded; frequent words come again soon."""
+    if len(known) > KEPT_WORDS:
+        known.clear()
+    else:
+        for word in [w for w in new if len(w) > KEPT_CHARS]:
+            del known[word]
+
+
+def _encode_words(texts: list[str], tokenizer, kept: dict) -> list[bytes]:
+    """Ids of every text from those of its words between spaces and line feeds.
+
+    The library drops spaces and line feeds and no id spans one. A word is encoded once: one of
+    plain letters by the pieces that the library's pattern cuts it into, which recur more
+    often still; other words, and those that may hold an added token, whole.
+    """
+    known, pieces = kept.setdefault("words", {}), kept.setdefault("pieces", {})
+    words = [text.replace("\n", " ").split(" ") for text in texts]
+    new = set().union(*words).difference(known)
+    whole = [w for w in new if "<|" in w or not (w.isascii() or _PLAIN.fullmatch(w))]
+    cut = {w: _PIECES.findall(w.lower()) for w in new.difference(whole)}
+    rare = set().union(*cut.values()).difference(pieces)
+    _learn_words(whole, known, tokenizer)
+    _learn_pieces(rare, pieces, tokenizer, kept)
+    known.update((w, b"".join([pieces[p] for p in own])) for w, own in cut.items())
+    ids = [b"".join(map(known.__getitem__, own)) for own in words]
+    _forget(known, new)
+    _forget(pieces, rare)
+    return ids
+
+
+def encode(texts: list[str], tokenizer, kept: dict | None = None) -> list[np.ndarray]:
+    """Ids of every text as the library gives them without special tokens, then the end id.
+
+    ``kept`` holds the ids of words from one call to the next.
+    """
+    kept = {} if kept is None else kept
+    parts, owner = [], []
+    for n, text in enumerate(texts):
+        for part in _cut_text(text):
+            parts.append(part)
+            owner.append(n)
+    ids: list[list[bytes]] = [[] for _ in texts]
+    for some in _slices(parts):
+        for n, own in zip(owner[some], _encode_words(parts[some], tokenizer, kept)):
+            ids[n].append(own)
+    end = np.array([END_ID], dtype="<u4").tobytes()
+    return [np.frombuffer(b"".join([*own, end]), dtype="<u4") for own in ids]
 
 
 def _tokenise(path: str, with_ids: bool):
@@ -89,7 +155,7 @@ def _tokenise(path: str, with_ids: bool):
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             out = {k: [] for k in ("doc_id", "uid", "start", "length", "ids_crc32", "doc_tokens", "loss_tokens", "ids")}
-            for doc_id, uid, ids in zip(batch.column("doc_id").to_pylist(), batch.column("uid").to_pylist(), encode(texts, tokenizer)):
+            for doc_id, uid, ids in zip(batch.column("doc_id").to_pylist(), batch.column("uid").to_pylist(), encode(texts, tokenizer, kept)):
                 for start in range(0, len(ids), SEQUENCE):
                     piece = ids[start:start + SEQUENCE]
                     out["doc_id"].append(doc_id)
@@ -134,7 +200,7 @@ def _dot_product_bins(tokens: np.ndarray, segments: np.ndarray, loss: np.ndarray
     """Bin and offset of every item, bins filled one at a time by the dot-product rule."""
     n = len(tokens)
     demand = np.stack([tokens / limits[0], segments / limits[1], loss / limits[2]], axis=1)
-    raw = np.stack([tokens, segments, loss], axis=1).astype(np.int64)
+    raw = np.stack([tokens, segments, loss]).astype(np.int64)
     left = np.ones(n, dtype=bool)
     bins, offsets = np.full(n, -1, dtype=np.int64), np.zeros(n, dtype=np.int64)
     b, placed = 0, 0
@@ -142,14 +208,14 @@ def _dot_product_bins(tokens: np.ndarray, segments: np.ndarray, loss: np.ndarray
         room = np.array(limits, dtype=np.int64)
         used = 0
         while True:
-            fits = left & np.all(raw <= room, axis=1)
+            fits = left & (raw[0] <= room[0]) & (raw[1] <= room[1]) & (raw[2] <= room[2])
             if not fits.any():
                 break
             score = np.where(fits, demand @ (room / np.array(limits, dtype=np.float64)), -1.0)
             pick = int(np.argmax(score))
             bins[pick], offsets[pick] = b, used
-            used += int(raw[pick, 0])
-            room -= raw[pick]
+            used += int(raw[0, pick])
+            room -= raw[:, pick]
             left[pick] = False
             placed += 1
         b += 1
