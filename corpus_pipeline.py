@@ -14,9 +14,18 @@ from tidegate.llm.quality import THRESHOLD, fit_quality, score_quality
 from tidegate.llm.suffix_dedup import remove_repeats
 from tidegate.storage import materialise
 
+#: Bytes of rows that go to a Python worker at once; the executor and the worker hold a few times as much a task.
+BATCH_BYTES = 4 << 20
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session's queries; they are planned when a stage's result is written."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; the rest go."""
+    _small_batches(spark)
     model = fit_quality(docs, read(spark, sf_dir, "labels"))
     return score_quality(docs, model).where(F.col("score") >= THRESHOLD).select(*docs.columns)
 
@@ -27,6 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows that repeat an id stay once if they are equal in all columns. Rows without an id
     are in no group and stay.
     """
+    _small_batches(spark)
     groups = materialise(similar_documents(docs, width=5, percent=80), "pipeline-groups")
     by_id = groups.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(
         F.max(F.col("doc_id") == F.col("component_id")).alias("_first"), (F.count("*") > 1).alias("_repeated"))
@@ -38,6 +48,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier document has too; ``n_chars`` follows the text."""
+    _small_batches(spark)
     cut = remove_repeats(docs, as_text=True)
     text = F.when(F.size("removed") > 0, F.col("kept")).otherwise(F.col("text"))
     cut = cut.withColumn("text", text)
@@ -58,6 +69,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Files do not keep an order when they are read, so the place is derived again from the
     same rows: ``mix_position`` and ``mix_place`` order the result.
     """
+    _small_batches(spark)
     placed = mix_sources(docs.select("doc_id", "source", "text"))
     coded = round_trip(placed, public_tokenizers.path("byte_bpe_50k.json"))
     return coded.select("doc_id", "source", "mix_position", "mix_place", F.size("ids").cast("long").alias("n_tokens"), "ids",

@@ -67,3 +67,46 @@ def test_the_mix_reaches_the_tokens(spark, tmp_path):
     got.write.parquet(str(tmp_path / "tokens"))
     got = spark.read.parquet(str(tmp_path / "tokens")).orderBy("mix_position", "mix_place")
     assert [(x.doc_id, x.source) for x in got.collect()] == want
+
+
+def test_stages_hand_python_small_batches(spark):
+    """A partition of 20 MB reaches a Python worker in batches of about 4 MB once a stage is set up."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    def largest(batches):
+        yield pa.RecordBatch.from_pydict({"n": [max(b.nbytes for b in batches)]})
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    before = spark.conf.get(setting := "spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        spark.conf.unset(setting)
+        corpus_pipeline.tokens(spark, docs, DATA)
+        wide = spark.range(20, numPartitions=1).select(F.repeat(F.lit("word "), 200_000).alias("text"))
+        assert wide.mapInArrow(largest, "n long").first()[0] < 8 << 20
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_memory_of_an_earlier_owner_goes_back():
+    """What one operator remembered leaves the process when another one begins, though later objects lie behind it."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = """
+import re
+from pathlib import Path
+from tidegate.llm.common import remembered
+
+def held():
+    return sum(map(int, re.findall(r"Pss_Anon:\\s+(\\d+)", Path("/proc/self/smaps_rollup").read_text()))) / 1024
+
+remembered("a")["words"] = [bytes(2000) for _ in range(100_000)]
+behind, full = bytes(2000), held()
+remembered("b")
+print(full - held())
+"""
+    root = Path(__file__).resolve().parents[2]
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert float(out.stdout) > 150

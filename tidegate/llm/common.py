@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Iterator
@@ -26,9 +27,18 @@ def remembered(owner: str) -> dict:
     module = sys.modules.setdefault("_tidegate_remembered", types.ModuleType("_tidegate_remembered"))
     if getattr(module, "owner", None) != owner:
         module.owner, module.kept = owner, {}
+        release()
     return module.kept
 
 
+def release() -> None:
+    """Give freed memory back to the system, which allocators otherwise keep for as long as the worker lives."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc has it
+    if trim:
+        trim(0)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -103,7 +113,7 @@ def pieces(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[p
             rows = max(1, int(batch.num_rows * size / max(1, batch.nbytes)))
             for start in range(0, batch.num_rows, rows):
                 yield batch.slice(start, rows)
-    pa.default_memory_pool().release_unused()
+    release()
 
 
 def utf8(column: pa.Array) -> list[bytes]:
