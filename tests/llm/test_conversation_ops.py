@@ -227,3 +227,22 @@ def test_words_are_encoded_once_and_as_the_library_does():
     got = packing.encode(said[:10], counting, kept) + packing.encode(said[10:], counting, kept)
     assert [ids.tolist() for ids in got] == [e.ids + [2] for e in tok.encode_batch(said, add_special_tokens=False)]
     assert counting.asked <= 6      # the, comma, ete, end, full stop, nothing
+
+
+def test_words_share_the_ids_of_their_pieces(monkeypatch):
+    """Words made of the same pieces are not remembered one by one; forgetting and long pieces change no id."""
+    tok = Tokenizer.from_file(WORD_BPE)
+    r = random.Random(5)
+    parts = ["Alpha", "beta", "'s", ",", "?!", "7", "\u00c9t\u00e9", "'d'd", "'rest", "''s", "\t"]
+    texts = [" ".join("".join(r.choices(parts, k=r.randint(1, 5))) for _ in range(200)) for _ in range(40)]
+    kept = {}
+    want = [e.ids + [2] for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in packing.encode(texts, tok, kept)] == want
+    assert len({w for t in texts for w in t.split(" ")}) > 3000
+    assert sum(len(x) if isinstance(x, dict) else len(getattr(x, "known", ())) for k, x in kept.items() if k != "spelt") < 1200
+    monkeypatch.setattr(packing, "KEPT_PIECES", 5)
+    monkeypatch.setattr(packing, "PART_CHARS", 1 << 12)
+    mixed = [t + " " + "x" * (60 + n) + " \u4e2d\u6587" * n + " <|endoftext|>" for n, t in enumerate(texts)]
+    want = [e.ids + [2] for e in tok.encode_batch(mixed, add_special_tokens=False)]
+    for _ in range(2):
+        assert [ids.tolist() for ids in packing.encode(mixed, tok, kept)] == want

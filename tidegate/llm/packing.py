@@ -17,18 +17,20 @@ padding stays near the bound of one partial bin per group.
 from __future__ import annotations
 
 import os
-import re
 import zlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidegate.llm.common import remembered
+from tidegate.llm.common import pieces, remembered
 from tidegate.storage import materialise, spread
 
 SEQUENCE = 4096
@@ -41,15 +43,38 @@ GROUP_TOKENS = 1 << 22
 GROUP_PIECES = 8192
 #: Texts longer than this are encoded in parts cut at spaces or line feeds.
 ENCODE_CHARS = 1 << 18
-#: Characters encoded at once: the library's encodings take some 100 bytes a token.
-BATCH_CHARS = 1 << 20
-#: Words, and pieces of words, whose ids a worker remembers, and characters of the longest of them.
-KEPT_WORDS, KEPT_CHARS = 1 << 19, 64
-#: Letters beyond ASCII that normalising leaves alone or turns to one lower-case letter of the same range.
-_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-_PLAIN = re.compile(f"[\\x00-\\x7f{_LETTERS}]*")
-#: What the tokenizer's own pattern takes for one piece of a lower-case word of such characters.
-_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^\sa-z0-9{_LETTERS}]+", re.ASCII)
+#: Characters of the words that the library gets at once (its encodings take some 100 bytes a
+#: token), and of the parts whose pieces are found at once (some 20 bytes a character).
+BATCH_CHARS, PART_CHARS = 1 << 20, 1 << 22
+#: Pieces whose ids a worker remembers, and bytes of the longest of them.
+KEPT_PIECES, KEPT_BYTES = 1 << 19, 64
+#: Classes of characters: space and line feed, other space, letters, digits, others. Words with
+#: characters of the last class, which normalising may change or join, go to the library whole.
+_CUT, _SPACE, _LETTER, _DIGIT, _MARK, _ODD = range(6)
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Class and lower-case character of each character up to U+00FF, at 256 of any other.
+
+    Letters beyond ASCII are those that normalising leaves alone or turns to one lower-case
+    letter of the same range.
+    """
+    kind, lower = np.full(257, _ODD, np.uint8), np.arange(257, dtype=np.uint16)
+    kind[:128] = _MARK
+    kind[[9, 11, 12, 13]] = _SPACE
+    kind[[10, 32]] = _CUT
+    kind[48:58] = _DIGIT
+    for first, last in (("A", "Z"), ("\u00c0", "\u00d6"), ("\u00d8", "\u00de")):
+        kind[ord(first):ord(last) + 1] = _LETTER
+        lower[ord(first):ord(last) + 1] += 32
+    for first, last in (("a", "z"), ("\u00df", "\u00f6"), ("\u00f8", "\u00ff")):
+        kind[ord(first):ord(last) + 1] = _LETTER
+    return kind, lower.astype(np.uint8)
+
+
+_KIND, _LOWER = _tables()
+#: Endings that the tokenizer's own pattern cuts off after an apostrophe.
+_ENDINGS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
 
 
 def _cut_text(text: str) -> Iterator[str]:
@@ -65,70 +90,137 @@ def _cut_text(text: str) -> Iterator[str]:
     yield text[begin:]
 
 
-def _slices(texts: list[str]) -> Iterator[slice]:
-    """Texts of about ``BATCH_CHARS`` characters at a time; a longer one alone."""
+def _slices(texts: list[str], most: int = BATCH_CHARS) -> Iterator[slice]:
+    """Texts of about ``most`` characters at a time; a longer one alone."""
     at = 0
     while at < len(texts):
         stop, chars = at, 0
-        while stop < len(texts) and (stop == at or chars + len(texts[stop]) <= BATCH_CHARS):
+        while stop < len(texts) and (stop == at or chars + len(texts[stop]) <= most):
             chars += len(texts[stop])
             stop += 1
         yield slice(at, stop)
         at = stop
 
 
-def _learn_words(words: list[str], known: dict[str, bytes], tokenizer) -> None:
-    """Add the ids of words as the library gives them."""
-    for part in _slices(words):
-        found = tokenizer.encode_batch_fast(words[part], add_special_tokens=False)
-        known.update((w, np.asarray(e.ids, dtype="<u4").tobytes()) for w, e in zip(words[part], found))
+class _Ids:
+    """Remembered pieces and their ids: those of ``known[i]`` are ``flat[ends[i]:ends[i + 1]]``.
 
+    Pieces of plain characters are Latin-1, odd words a space and UTF-8.
+    """
 
-def _learn_pieces(pieces: Iterable[str], known: dict[str, bytes], tokenizer, kept: dict) -> None:
-    """Add the ids of pieces, which the library's model gives for their bytes as its pre-tokenizer spells them."""
+    def __init__(self):
+        self.known, self.ends, self.flat = pa.array([], pa.binary()), array("q", [0]), array("I")
+
+    def numbers(self, pieces: pa.Array, learn: Callable[[list[bytes]], Iterator[list[int]]]) -> np.ndarray:
+        """The number of every piece; new ones are learnt, those too long to stay last."""
+        numbers = pc.index_in(pieces, self.known).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(numbers < 0)
+        long = pc.binary_length(pieces).to_numpy()[new] > KEPT_BYTES
+        new = np.concatenate([new[~long], new[long]])
+        numbers[new] = len(self.known) + np.arange(len(new))
+        added = pieces.take(pa.array(new))
+        for ids in learn(added.to_pylist()):
+            self.flat.extend(ids)
+            self.ends.append(len(self.flat))
+        self.known = pa.concat_arrays([self.known, added.slice(0, len(new) - np.count_nonzero(long))])
+        return numbers
+
+    def joined(self, numbers: np.ndarray, cuts: np.ndarray) -> list[np.ndarray]:
+        """The ids of the numbered pieces in a row, cut before the pieces at ``cuts``."""
+        ends, flat = np.frombuffer(self.ends, np.int64), np.frombuffer(self.flat, np.uint32)
+        starts, sizes = ends[numbers], ends[numbers + 1] - ends[numbers]
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.repeat(starts - before[:-1], sizes) + np.arange(before[-1])
+        return np.split(flat[places].astype("<u4"), before[cuts])
+
+    def forget(self) -> None:
+        """Keep what is remembered bounded: long pieces go at once, and frequent ones come again soon."""
+        if len(self.known) > KEPT_PIECES:
+            self.__init__()
+        del self.ends[len(self.known) + 1:]
+        del self.flat[self.ends[-1]:]
+
+
+def _begins(text: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Whether a piece of the tokenizer's pattern begins at each character: ``text`` is lower-case, without odd characters."""
+    before = np.concatenate([[_CUT], kind[:-1]])
+    first = (kind > _SPACE) & ((kind != before) | (kind == _DIGIT))
+    quotes = np.flatnonzero(first & (text == ord("'")))
+    for ending in _ENDINGS:
+        n = len(ending)
+        at = quotes[quotes + n < len(text)]
+        for i, c in enumerate(ending, 1):
+            at = at[text[at + i] == c]
+        first[at + 1] = False
+        rest = at[at + n + 1 < len(text)] + n + 1
+        first[rest] |= kind[rest] == _LETTER
+    return first
+
+
+def _odd_words(text: str, char: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, list[str]]:
+    """Places and texts of the words that hold an odd character, or might an added token."""
+    odd = np.flatnonzero((kind == _ODD) | ((char == ord("<")) & (np.append(char[1:], 0) == ord("|"))))
+    if not len(odd):
+        return odd, []
+    cuts = np.flatnonzero(kind == _CUT)
+    word = np.unique(np.searchsorted(cuts, odd))
+    bounds = np.concatenate([[-1], cuts, [len(char)]])
+    starts, stops = bounds[word] + 1, bounds[word + 1]
+    return starts, [text[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
+
+
+def _learn(tokenizer, kept: dict):
+    """Ids of new pieces: the library's model gives them for the bytes of a plain piece as its
+    pre-tokenizer spells them; odd words go to the library whole."""
     if "spelt" not in kept:
-        plain = [chr(c) for c in range(256) if _PLAIN.fullmatch(chr(c)) and chr(c) not in " \t\n\r\f\v"]
+        plain = [chr(c) for c in range(256) if _KIND[c] not in (_CUT, _SPACE, _ODD) and _LOWER[c] == c]
         kept["spelt"] = str.maketrans({c: "".join(x for x, _ in tokenizer.pre_tokenizer.pre_tokenize_str(c)) for c in plain})
-    spelt, model = kept["spelt"], tokenizer.model
-    for piece in pieces:
-        known[piece] = b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(piece.translate(spelt))])
-
+    spelt, tokenize = kept["spelt"], tokenizer.model.tokenize
 
-def _forget(known: dict[str, bytes], new: Iterable[str]) -> None:
-    """Keep what is remembered bounded; frequent words come again soon."""
-    if len(known) > KEPT_WORDS:
-        known.clear()
-    else:
-        for word in [w for w in new if len(w) > KEPT_CHARS]:
-            del known[word]
+    def ids_of(pieces: list[bytes]) -> Iterator[list[int]]:
+        for odd, some in groupby(pieces, lambda p: p.startswith(b" ")):
+            if odd:
+                words = [p[1:].decode("utf-8", "surrogatepass") for p in some]
+                for part in _slices(words):
+                    yield from (e.ids for e in tokenizer.encode_batch_fast(words[part], add_special_tokens=False))
+            else:
+                for piece in b"\n".join(some).decode("latin-1").translate(spelt).split("\n"):
+                    yield [t.id for t in tokenize(piece)]
+    return ids_of
 
 
-def _encode_words(texts: list[str], tokenizer, kept: dict) -> list[bytes]:
-    """Ids of every text from those of its words between spaces and line feeds.
+def _encode_parts(texts: list[str], tokenizer, kept: dict) -> list[np.ndarray]:
+    """Ids of every text from those of its pieces.
 
-    The library drops spaces and line feeds and no id spans one. A word is encoded once: one of
-    plain letters by the pieces that the library's pattern cuts it into, which recur more
-    often still; other words, and those that may hold an added token, whole.
+    The library drops spaces and line feeds and no id spans one. Words of plain characters are
+    cut as the library's pattern cuts them; the others are one piece. Equal pieces are encoded once.
     """
-    known, pieces = kept.setdefault("words", {}), kept.setdefault("pieces", {})
-    words = [text.replace("\n", " ").split(" ") for text in texts]
-    new = set().union(*words).difference(known)
-    whole = [w for w in new if "<|" in w or not (w.isascii() or _PLAIN.fullmatch(w))]
-    cut = {w: _PIECES.findall(w.lower()) for w in new.difference(whole)}
-    rare = set().union(*cut.values()).difference(pieces)
-    _learn_words(whole, known, tokenizer)
-    _learn_pieces(rare, pieces, tokenizer, kept)
-    known.update((w, b"".join([pieces[p] for p in own])) for w, own in cut.items())
-    ids = [b"".join(map(known.__getitem__, own)) for own in words]
-    _forget(known, new)
-    _forget(pieces, rare)
-    return ids
+    ids = kept.setdefault("ids", _Ids())
+    text = "\n".join(texts)
+    char = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    small = np.minimum(char, 256).astype(np.uint16)
+    kind, lower = _KIND[small], _LOWER[small]
+    odd, words = _odd_words(text, char, kind)
+    for start, word in zip(odd.tolist(), words):
+        kind[start:start + len(word)] = _CUT
+    starts, solid = np.flatnonzero(_begins(lower, kind)), kind > _SPACE
+    offsets = np.append(np.cumsum(solid, dtype=np.int32)[starts] - 1, np.count_nonzero(solid)).astype(np.int32)
+    plain = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(lower[solid])])
+    whole = pa.array([b" " + w.encode("utf-8", "surrogatepass") for w in words], pa.binary())
+    found = pa.concat_arrays([plain, whole]).dictionary_encode()
+    numbers = ids.numbers(found.dictionary, _learn(tokenizer, kept))[found.indices.to_numpy()]
+    places = np.searchsorted(starts, odd)
+    numbers = np.insert(numbers[:len(starts)], places, numbers[len(starts):])
+    starts = np.insert(starts, places, odd)
+    out = ids.joined(numbers, np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts])[:-1]))
+    ids.forget()
+    return out
 
 
 def encode(texts: list[str], tokenizer, kept: dict | None = None) -> list[np.ndarray]:
     """Ids of every text as the library gives them without special tokens, then the end id.
 
-    ``kept`` holds the ids of words from one call to the next.
+    ``kept`` holds the ids of pieces from one call to the next.
     """
     kept = {} if kept is None else kept
     parts, owner = [], []
@@ -136,12 +228,12 @@ def encode(texts: list[str], tokenizer, kept: dict | None = None) -> list[np.nda
         for part in _cut_text(text):
             parts.append(part)
             owner.append(n)
-    ids: list[list[bytes]] = [[] for _ in texts]
-    for some in _slices(parts):
-        for n, own in zip(owner[some], _encode_words(parts[some], tokenizer, kept)):
+    ids: list[list[np.ndarray]] = [[] for _ in texts]
+    for some in _slices(parts, PART_CHARS):
+        for n, own in zip(owner[some], _encode_parts(parts[some], tokenizer, kept)):
             ids[n].append(own)
-    end = np.array([END_ID], dtype="<u4").tobytes()
-    return [np.frombuffer(b"".join([*own, end]), dtype="<u4") for own in ids]
+    end = np.array([END_ID], dtype="<u4")
+    return [np.concatenate([*own, end]) for own in ids]
 
 
 def _tokenise(path: str, with_ids: bool):
@@ -152,7 +244,7 @@ def _tokenise(path: str, with_ids: bool):
             from tokenizers import Tokenizer
             kept[path] = Tokenizer.from_file(path)
         tokenizer = kept[path]
-        for batch in batches:
+        for batch in pieces(batches, 8 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             out = {k: [] for k in ("doc_id", "uid", "start", "length", "ids_crc32", "doc_tokens", "loss_tokens", "ids")}
             for doc_id, uid, ids in zip(batch.column("doc_id").to_pylist(), batch.column("uid").to_pylist(), encode(texts, tokenizer, kept)):
@@ -191,8 +283,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, with_ids: bool = True
                                F.monotonically_increasing_id().alias("uid"))
     schema = "doc_id long, uid long, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long" + (
         ", ids array<int>" if with_ids else "")
-    pieces = rows.mapInArrow(_tokenise(tokenizer_path, with_ids), schema)
-    return materialise(pieces, "packing-pieces")
+    return materialise(rows.mapInArrow(_tokenise(tokenizer_path, with_ids), schema), "packing-pieces")
 
 
 def _dot_product_bins(tokens: np.ndarray, segments: np.ndarray, loss: np.ndarray,
