@@ -42,6 +42,8 @@ from tidegate.storage import Scratch, freed_shuffles, materialise
 CHUNKS_PER_BLOCK = 64
 #: Blocks of the highest bounds that each query scores first, for its threshold.
 FIRST_BLOCKS = 16
+#: Block numbers that are sent to the chunks at most, so that texts of other blocks are not shuffled.
+_FEW_BLOCKS = 1 << 20
 #: A bound this far below the threshold still counts: scores are rounded before they rank.
 _SLACK = 2 * 10.0 ** -_PLACES
 
@@ -60,9 +62,11 @@ class BlockMaxima:
     def _part(self, parts: int) -> Column:
         return F.pmod("block", F.lit(parts)).cast("int")
 
-    def _dealt(self, dealing: Dealing, number: int) -> DataFrame:
-        """Whole blocks by part, those of one round."""
+    def _dealt(self, dealing: Dealing, number: int, some: DataFrame | None = None) -> DataFrame:
+        """Whole blocks by part, those of one round; ``some`` names the blocks that are asked for if they are few."""
         rows = self.index.unread_rows.withColumn("block", block_of(self.blocks)).withColumn("part", self._part(dealing.parts))
+        if some is not None:
+            rows = rows.join(F.broadcast(some), "block", "left_semi")
         return (rows.where(F.pmod("part", F.lit(dealing.rounds)) == number)
                 .repartition(max(1, dealing.parts // dealing.rounds), "part").sortWithinPartitions("part")
                 .select("part", "block", *CHUNK_KEYS, words(F.col("chunk")).alias("words"), "stored", "norm"))
@@ -84,10 +88,13 @@ class BlockMaxima:
         schema = T.StructType([T.StructField("query_id", ids.dataType), *[self.index.table.schema[c] for c in CHUNK_KEYS],
                                T.StructField("distance", T.DoubleType())])
 
+        blocks = pairs.select("block").distinct()
+        some = blocks if blocks.count() <= min(self.blocks // 4, _FEW_BLOCKS) else None
+
         def one(dealing: Dealing, number: int) -> DataFrame:
             asked = pairs.select("query_id", "block").withColumn("part", self._part(dealing.parts))
             asked = asked.where(F.pmod("part", F.lit(dealing.rounds)) == number)
-            return (self._dealt(dealing, number).groupBy("part").cogroup(asked.groupBy("part"))
+            return (self._dealt(dealing, number, some).groupBy("part").cogroup(asked.groupBy("part"))
                     .applyInArrow(_score_part(shared, self.index.n_chunks, k), schema))
 
         return self._rounds(one, scratch, "scores")
